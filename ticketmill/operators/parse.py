@@ -9,15 +9,23 @@ from ticketmill.functions import event_time
 from ticketmill.schema import TICKET_SCHEMA
 
 
-def decode_records(records: DataFrame, *keep: str) -> DataFrame:
+def decode_records(records: DataFrame, *keep: str, parse_once: bool = False) -> DataFrame:
     """The payload read as JSON into a ``ticket`` struct, beside the broker time.
 
     Unreadable payloads give null fields; no row is lost. ``keep`` names further
     record columns to carry along.
+
+    Spark prunes the JSON schema to the fields a query uses, and copies the parse
+    into every filter on them. With ``parse_once`` the struct passes through a
+    one-element explode, which no filter is pushed below: each payload is then
+    parsed exactly once, always in full. That is the cheaper way as soon as a
+    filter (or a time window, which filters null times) reads a parsed field.
     """
-    return records.selectExpr(
+    texts = records.selectExpr(
         "CAST(value AS STRING) AS payload", "timestamp AS kafka_timestamp", *keep
-    ).withColumn("ticket", F.from_json("payload", TICKET_SCHEMA))
+    )
+    ticket = F.from_json("payload", TICKET_SCHEMA)
+    return texts.select("*", (F.explode(F.array(ticket)) if parse_once else ticket).alias("ticket"))
 
 
 def ticket_columns() -> list[Column]:
@@ -33,6 +41,6 @@ def ticket_columns() -> list[Column]:
     ]
 
 
-def parse_tickets(records: DataFrame) -> DataFrame:
+def parse_tickets(records: DataFrame, parse_once: bool = False) -> DataFrame:
     """One row per record, also for malformed ones (their ticket columns are null)."""
-    return decode_records(records).select(*ticket_columns())
+    return decode_records(records, parse_once=parse_once).select(*ticket_columns())

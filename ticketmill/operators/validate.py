@@ -11,7 +11,7 @@ from ticketmill.operators.parse import decode_records, ticket_columns
 
 def check_records(records: DataFrame, *keep: str) -> DataFrame:
     """Decoded records with ``reject_reason``, null where the ticket is valid."""
-    return decode_records(records, *keep).withColumn(
+    return decode_records(records, *keep, parse_once=True).withColumn(
         "reject_reason", rejection_reason(F.col("payload"), F.col("ticket"))
     )
 

@@ -7,13 +7,14 @@ the library on the records. Times leave as text, so that results compare exactly
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmill import operators as ops
-from ticketmill.plans.job import JobConfig, start_job
+from ticketmill.plans.job import JobConfig, enriched_tickets, start_job
 from ticketmill.schema import TEAM_BY_REQUEST_TYPE, TICKET_FIELDS
 from ticketmill.session import pin_utc, scratch_dir
 from ticketmill.sinks import EXPORTS, BatchExporter, latest_counts, read_export, read_totals
@@ -23,6 +24,8 @@ from ticketmill.sources import (
     read_events,
     read_records,
     stream_events,
+    stream_records,
+    ticket_records,
 )
 from ticketmill.streaming import (
     start_enriched_table,
@@ -64,12 +67,12 @@ def _record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_records(stream_events(spark, sf_dir))
 
 
-def _tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.enrich_tickets(ops.parse_tickets(_records(spark, sf_dir)))
+def _tickets(spark: SparkSession, sf_dir: str, parse_once: bool = False) -> DataFrame:
+    return enriched_tickets(_records(spark, sf_dir), parse_once=parse_once)
 
 
-def _ticket_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.enrich_tickets(ops.parse_tickets(_record_stream(spark, sf_dir)))
+def _ticket_stream(spark: SparkSession, sf_dir: str, parse_once: bool = False) -> DataFrame:
+    return enriched_tickets(_record_stream(spark, sf_dir), parse_once=parse_once)
 
 
 def _time_text(column: str) -> Column:
@@ -255,17 +258,19 @@ def rollup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def window_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _window_text(ops.window_counts_by_type(_tickets(spark, sf_dir)), TYPE_KEYS)
+    tickets = _tickets(spark, sf_dir, parse_once=True)
+    return _window_text(ops.window_counts_by_type(tickets), TYPE_KEYS)
 
 
 @_query
 def window_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _window_text(ops.window_counts_by_priority(_tickets(spark, sf_dir)), PRIORITY_KEYS)
+    tickets = _tickets(spark, sf_dir, parse_once=True)
+    return _window_text(ops.window_counts_by_priority(tickets), PRIORITY_KEYS)
 
 
 def _closed_windows(spark: SparkSession, sf_dir: str, name: str, keys: Sequence[str]) -> DataFrame:
     out = scratch_dir(spark, name)
-    tickets = _ticket_stream(spark, sf_dir)
+    tickets = _ticket_stream(spark, sf_dir, parse_once=True)
     wait_for(
         start_window_table(tickets, keys, f"{out}/data", f"{out}/checkpoint", name, trigger=ONCE)
     )
@@ -276,7 +281,7 @@ def _changed_windows(
     spark: SparkSession, sf_dir: str, name: str, keys: Sequence[str]
 ) -> DataFrame:
     out = scratch_dir(spark, name)
-    tickets = _ticket_stream(spark, sf_dir)
+    tickets = _ticket_stream(spark, sf_dir, parse_once=True)
     wait_for(
         start_window_changes(tickets, keys, f"{out}/data", f"{out}/checkpoint", name, trigger=ONCE)
     )
@@ -303,36 +308,41 @@ def stream_by_priority_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _changed_windows(spark, sf_dir, "stream_by_priority_update", PRIORITY_KEYS)
 
 
-ARRIVALS = 3
+PARTS = 3
+
 
+def _time_cuts(events: DataFrame) -> list[Column]:
+    """Bounds of three parts of equal length in time: cuts[i] <= ts < cuts[i + 1]."""
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    micros = (last - first) // timedelta(microseconds=1) + 1
+    steps = [timedelta(microseconds=-(-micros * i // PARTS)) for i in range(PARTS + 1)]
+    return [F.lit(first + step).cast("timestamp_ntz") for step in steps]
 
-def _arrival(tickets: DataFrame) -> DataFrame:
-    """Cut tickets into thirds by time; critical ones arrive one third late."""
-    micros = F.unix_micros("created_at")
-    low, high = tickets.agg(F.min(micros), F.max(micros)).first()
-    third = F.floor((micros - low) * ARRIVALS / F.lit(high - low + 1))
-    late = F.when(F.col("priority") == "critical", 1).otherwise(0)
-    return tickets.withColumn("arrival", F.least(third + late, F.lit(ARRIVALS - 1)))
+
+def _between(events: DataFrame, cuts: list[Column], start: int, end: int) -> DataFrame:
+    """Events of some parts; the bounds reach the Parquet scan."""
+    return events.filter((F.col("ts") >= cuts[max(start, 0)]) & (F.col("ts") < cuts[end]))
 
 
 @_query
 def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed windows of a stream that is restarted twice and gets late tickets.
 
-    A late ticket counts only while its window is still open.
+    Tickets arrive in three parts by time, critical ones one part late (those of
+    the last part in time). A late ticket counts only while its window is open.
     """
     out = scratch_dir(spark, "stream_late_data")
-    tickets = _arrival(_tickets(spark, sf_dir))
-    for arrival in range(ARRIVALS):
-        (
-            tickets.filter(F.col("arrival") == arrival)
-            .select("created_at", "priority")
-            .write.mode("append")
-            .parquet(f"{out}/arrived")
-        )
-        arrived = spark.readStream.schema("created_at TIMESTAMP, priority STRING").parquet(
-            f"{out}/arrived"
-        )
+    events = read_events(spark, sf_dir)
+    cuts = _time_cuts(events)
+    critical = F.col("priority") == "critical"
+    for part in range(PARTS):
+        on_time = F.col("ts") >= cuts[part]
+        due = on_time & ~critical | ~on_time & critical
+        if part == PARTS - 1:
+            due = due | critical
+        tickets = event_tickets(_between(events, cuts, part - 1, part + 1)).filter(due)
+        ticket_records(tickets).write.mode("append").parquet(f"{out}/topic")
+        arrived = enriched_tickets(stream_records(spark, f"{out}/topic"), parse_once=True)
         wait_for(
             start_window_table(
                 arrived,
@@ -384,9 +394,11 @@ def sink_cumulative_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running totals after three micro-batches, each a part of the tickets."""
     root = f"{scratch_dir(spark, 'sink_cumulative_exports')}/data"
     exporter = BatchExporter(root, mode="cumulative")
-    tickets = _arrival(_tickets(spark, sf_dir))
-    for arrival in range(ARRIVALS):
-        exporter(tickets.filter(F.col("arrival") == arrival).drop("arrival"), arrival)
+    events = read_events(spark, sf_dir)
+    cuts = _time_cuts(events)
+    for part in range(PARTS):
+        batch = event_records(_between(events, cuts, part, part + 1))
+        exporter(enriched_tickets(batch), part)
     return _tagged({name: read_export(spark, root, name) for name in EXPORTS})
 
 

@@ -16,7 +16,7 @@ from ticketmill.operators import (
     rejected_records,
 )
 from ticketmill.schema import TOPIC
-from ticketmill.session import build_session
+from ticketmill.session import build_session, shared_folder
 from ticketmill.sinks import BatchExporter
 from ticketmill.sources import stream_enriched, stream_kafka
 from ticketmill.streaming import (
@@ -38,7 +38,8 @@ from ticketmill.streaming.queries import (
 @dataclass(frozen=True)
 class JobConfig:
     output_path: str
-    checkpoint_path: str
+    # None: a folder under the session's spark.checkpoint.dir.
+    checkpoint_path: str | None = None
     servers: str = "localhost:9092"
     topic: str = TOPIC
     fail_on_data_loss: bool = True
@@ -62,8 +63,8 @@ class JobConfig:
         return cls(
             servers=env.get("KAFKA_BROKER", "localhost:9092"),
             topic=env.get("TOPIC_NAME", TOPIC),
-            output_path=env.get("OUTPUT_PATH", "/app/output"),
-            checkpoint_path=env.get("CHECKPOINT_PATH", "/app/checkpoints"),
+            output_path=env.get("OUTPUT_PATH", "output"),
+            checkpoint_path=env.get("CHECKPOINT_PATH"),
             fail_on_data_loss=env.get("FAIL_ON_DATA_LOSS", "true").lower() == "true",
             max_offsets_per_trigger=int(limit) if limit else None,
             strict=env.get("STRICT", "false").lower() == "true",
@@ -80,18 +81,29 @@ class JobConfig:
             raise ValueError(f"unknown windows mode: {self.windows}")
 
 
-def enriched_stream(records: DataFrame, strict: bool = False) -> DataFrame:
-    tickets = accepted_tickets(records) if strict else parse_tickets(records)
+def enriched_tickets(
+    records: DataFrame, strict: bool = False, parse_once: bool = False
+) -> DataFrame:
+    tickets = accepted_tickets(records) if strict else parse_tickets(records, parse_once)
     return enrich_tickets(tickets)
 
 
+def checkpoint_root(spark: SparkSession, config: JobConfig) -> str:
+    if config.checkpoint_path:
+        return config.checkpoint_path.rstrip("/")
+    shared = shared_folder(spark)
+    if shared is None:
+        raise ValueError("set CHECKPOINT_PATH or spark.checkpoint.dir")
+    return f"{shared}/ticketmill/{config.topic}"
+
+
 def start_job(
     spark: SparkSession, records: DataFrame, config: JobConfig
 ) -> list[StreamingQuery]:
     """Start every query over a record stream and return them, ingest first."""
-    out, checkpoints = config.output_path.rstrip("/"), config.checkpoint_path.rstrip("/")
+    out, checkpoints = config.output_path.rstrip("/"), checkpoint_root(spark, config)
     exporter = BatchExporter(out, mode=config.export_mode, in_place=config.exports_in_place)
-    enriched = enriched_stream(records, config.strict)
+    enriched = enriched_tickets(records, config.strict)
     table = f"{out}/enriched_tickets"
 
     queries = [
@@ -108,15 +120,19 @@ def start_job(
                 config.ingest_trigger,
             )
         )
-    # The sink creates its commit log when the query starts, so the table can be
-    # followed right away.
-    tickets = stream_enriched(spark, table) if config.fan_out == "table" else enriched
+    if config.fan_out == "table":
+        # The sink creates its commit log when the query starts, so the table can be
+        # followed right away.
+        timed = tickets = stream_enriched(spark, table)
+    else:
+        tickets = enriched
+        timed = enriched_tickets(records, config.strict, parse_once=True)
 
     start_windows = start_window_changes if config.windows == "update" else start_window_table
     for name, keys in (("tickets_by_type", TYPE_KEYS), ("tickets_by_priority", PRIORITY_KEYS)):
         queries.append(
             start_windows(
-                tickets,
+                timed,
                 keys,
                 f"{out}/{name}",
                 f"{checkpoints}/{name}",

@@ -45,15 +45,24 @@ def pin_utc(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 
-    Only where ``spark.checkpoint.dir`` is unset (a local test run) does it fall
-    back to a temporary folder of this machine.
+    A local session without ``spark.checkpoint.dir`` gets a temporary folder of this
+    machine. On a cluster such a folder would differ from node to node, so there the
+    setting is required.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = shared_folder(spark)
     if shared:
-        return f"{shared.rstrip('/')}/ticketmill/{label}-{uuid.uuid4().hex}"
+        return f"{shared}/ticketmill/{label}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that every node can reach")
     return tempfile.mkdtemp(prefix=f"ticketmill-{label}-")
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """The shared folder the session names, without a trailing slash."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder.rstrip("/") if folder else None
+
+
 @contextmanager
 def state_partitions(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
     """Fix the number of state partitions of the streaming queries started inside.

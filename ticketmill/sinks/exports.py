@@ -167,8 +167,12 @@ class BatchExporter:
             result.write.mode("overwrite").format(export.format).save(path)
 
         # The results are tiny, so their jobs are all start-up time: run them together.
+        # Each thread gets its own copy of the job's properties, so that stopping the
+        # stream also cancels these jobs.
         with ThreadPoolExecutor(len(EXPORTS)) as pool:
-            list(pool.map(inheritable_thread_target(write), EXPORTS))
+            jobs = [pool.submit(inheritable_thread_target(spark)(write), name) for name in EXPORTS]
+            for job in jobs:
+                job.result()
 
         tickets = sizes["by_priority"][1]
         row = spark.range(0, 1, 1, 1).select(

@@ -1,4 +1,10 @@
-from ticketmill.sources.events import event_records, event_tickets, read_events, stream_events
+from ticketmill.sources.events import (
+    event_records,
+    event_tickets,
+    read_events,
+    stream_events,
+    ticket_records,
+)
 from ticketmill.sources.kafka import publish_to_kafka, stream_kafka
 from ticketmill.sources.records import read_records, stream_enriched, stream_records
 
@@ -12,4 +18,5 @@ __all__ = [
     "stream_events",
     "stream_kafka",
     "stream_records",
+    "ticket_records",
 ]

@@ -68,14 +68,13 @@ def event_tickets(events: DataFrame) -> DataFrame:
     )
 
 
-def event_records(events: DataFrame, value: Column | None = None) -> DataFrame:
-    """Topic records of the derived tickets: JSON payload keyed by client.
+def ticket_records(tickets: DataFrame, value: Column | None = None) -> DataFrame:
+    """Topic records of :func:`event_tickets`: JSON payload keyed by client.
 
-    ``value`` replaces the payload expression; it may use every column of
-    :func:`event_tickets`.
+    ``value`` replaces the payload expression; it may use every ticket column.
     """
     payload = value if value is not None else ticket_json()
-    return event_tickets(events).select(
+    return tickets.select(
         F.col("client_id").cast("binary").alias("key"),
         payload.cast("binary").alias("value"),
         F.lit(TOPIC).alias("topic"),
@@ -86,4 +85,5 @@ def event_records(events: DataFrame, value: Column | None = None) -> DataFrame:
     )
 
 
-__all__ = ["event_records", "event_tickets", "read_events", "stream_events"]
+def event_records(events: DataFrame, value: Column | None = None) -> DataFrame:
+    return ticket_records(event_tickets(events), value)
