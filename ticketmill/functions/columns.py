@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ticketmill.schema import DEFAULT_TEAM, TEAM_BY_REQUEST_TYPE, TICKET_FIELDS
 
 # Fixed value: date, time and zone must all be written out.
-FULL_ISO_PATTERN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})$"
+FULL_ISO_PATTERN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})\z"
 
 
 def event_time(text: Column) -> Column:

@@ -159,6 +159,7 @@ def run(config: JobConfig, spark: SparkSession | None = None) -> None:
         fail_on_data_loss=config.fail_on_data_loss,
         max_offsets_per_trigger=config.max_offsets_per_trigger,
     )
+    spark.streams.resetTerminated()
     queries = start_job(spark, records, config)
     try:
         spark.streams.awaitAnyTermination()
