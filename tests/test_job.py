@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 
 from ticketmill.operators import row_count
 from ticketmill.plans import job
-from ticketmill.plans.job import JobConfig, checkpoint_root, start_job
+from ticketmill.plans.job import JobConfig, catch_up, checkpoint_root, start_job
 from ticketmill.sinks import latest_counts, read_export
-from ticketmill.sources import publish_to_kafka, stream_kafka, stream_records
+from ticketmill.sources import (
+    publish_to_kafka,
+    start_kafka_publish,
+    stream_kafka,
+    stream_records,
+)
 from ticketmill.streaming import wait_for
 from ticketmill.streaming.queries import ONCE, PRIORITY_KEYS
 
@@ -74,6 +79,20 @@ def test_counting_queries_follow_the_enriched_table(spark, topic, tmp_path):
     }
 
 
+def test_catch_up_continues_where_it_ended(spark, topic, tmp_path):
+    setup = config(tmp_path, export_mode="cumulative")
+    for expected in ({None: 3, "low": 3, "high": 2, "medium": 1},) * 2:
+        catch_up(spark, stream_records(spark, topic), setup)
+        assert dict(rows(read_export(spark, setup.output_path, "agg_by_priority"))) == expected
+    make_records(spark, EDGE_VALUES[:3]).coalesce(1).write.mode("append").parquet(topic)
+    catch_up(spark, stream_records(spark, topic), setup)
+    assert dict(rows(read_export(spark, setup.output_path, "agg_by_priority"))) == {
+        None: 3, "low": 5, "high": 3, "medium": 1,
+    }
+    table = spark.read.parquet(f"{setup.output_path}/enriched_tickets")
+    assert rows(row_count(table)) == [(12,)]
+
+
 def test_strict_job_separates_rejects(spark, topic, tmp_path):
     setup = config(
         tmp_path, strict=True, fan_out="source", windows="append",
@@ -148,11 +167,11 @@ class Recorder:
         self.options = {}
 
     def __getattr__(self, name):
-        def note(*args):
+        def note(*args, **settings):
             if name == "option":
                 self.options[args[0]] = args[1]
             else:
-                self.options[name] = args
+                self.options[name] = args or settings
             return self
 
         return note
@@ -171,13 +190,14 @@ def test_kafka_source_options():
         "failOnDataLoss": "true",
         "maxOffsetsPerTrigger": "5",
         "minPartitions": "9",
-        "load": (),
+        "load": {},
     }
 
 
 def test_kafka_sink_options():
     class Records:
         write = Recorder()
+        writeStream = Recorder()
 
         def select(self, *columns):
             assert columns == ("key", "value")
@@ -186,6 +206,17 @@ def test_kafka_sink_options():
     publish_to_kafka(Records(), "b:1", "t")
     assert Records.write.options["kafka.acks"] == "all"
     assert Records.write.options["topic"] == "t"
+    start_kafka_publish(Records(), "b:1", "/checkpoint", "t")
+    assert Records.writeStream.options == {
+        "queryName": ("publish_t",),
+        "format": ("kafka",),
+        "kafka.bootstrap.servers": "b:1",
+        "kafka.acks": "all",
+        "topic": "t",
+        "checkpointLocation": "/checkpoint",
+        "trigger": {"processingTime": "1 second"},
+        "start": {},
+    }
 
 
 def test_missing_connector_is_reported(spark):

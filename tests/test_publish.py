@@ -106,3 +106,21 @@ def test_columns_are_unchanged(skewed):
     assert partition_by_client(skewed, 4).columns == skewed.columns
     assert partition_by_client(skewed, 4, split_above=10, max_listed=0).columns == skewed.columns
     assert rows(partition_by_client(skewed.limit(0))) == []
+
+
+def test_exchange_grows_with_the_tickets(skewed):
+    assert partition_by_client(skewed, split_above=3000).rdd.getNumPartitions() <= 4
+    assert partition_by_client(skewed, split_above=400).rdd.getNumPartitions() == 15
+
+
+def test_copies_of_one_ticket_are_spread(spark, tmp_path):
+    copies = spark.range(2000).select(
+        F.lit("CLI-1").alias("client_id"),
+        F.timestamp_seconds(F.lit(0)).alias("created_at"),
+        F.lit("TK-1").alias("ticket_id"),
+        F.col("id").alias("offset"),
+    )
+    placed = partition_by_client(copies, 4, split_above=500, tell_apart=["offset"])
+    sizes = placed.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 4 and sum(row["count"] for row in sizes) == 2000
+    assert max(row["count"] for row in sizes) < 1000

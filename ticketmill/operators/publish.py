@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,31 +29,32 @@ def partition_by_client(
     tickets: DataFrame,
     partitions: int | None = None,
     split_above: int = 5_000_000,
+    tell_apart: Sequence[str] = (),
     max_listed: int = MAX_LISTED_CLIENTS,
 ) -> DataFrame:
     """Put each client's tickets in one partition, in order of creation time.
 
-    A client with more than ``split_above`` tickets (the null client included)
-    does not fit one task. Such clients are cut by (created_at, ticket_id) into
-    consecutive partitions, so that reading the partitions in order still gives
-    their tickets in order; all other clients stay whole. Finding them costs one
-    counting pass over ``client_id``; a table without them gets a plain hash
-    exchange.
-    """
-    hot = (
-        tickets.groupBy("client_id")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") > split_above)
-        .select("client_id")
-    )
-    listed = [row.client_id for row in hot.limit(max_listed + 1).collect()]
+    One counting pass over ``client_id`` comes first. It sizes the exchange, so that
+    a partition holds about ``split_above`` tickets at most, unless ``partitions`` is
+    given. And it finds clients with more than ``split_above`` tickets (the null
+    client included), which do not fit one task: these are cut by (created_at,
+    ticket_id) into consecutive partitions, so that reading the partitions in order
+    still gives their tickets in order. All other clients stay whole.
 
-    order = ("client_id", "created_at", "ticket_id")
-    if not listed:
-        sizes = [] if partitions is None else [partitions]
+    ``tell_apart`` names columns that differ between copies of one ticket, such as
+    the record offset. With them even a single ticket that was sent very many times
+    is spread over several partitions.
+    """
+    counts = tickets.groupBy("client_id").agg(F.count("*").alias("n"))
+    total, hot_clients = counts.agg(F.sum("n"), F.count_if(F.col("n") > split_above)).first()
+    sizes = _partition_count(tickets, partitions, total or 0, split_above)
+    order = ("client_id", "created_at", "ticket_id", *tell_apart)
+    if not hot_clients:
         return tickets.repartition(*sizes, "client_id").sortWithinPartitions(*order)
 
-    if len(listed) <= max_listed:
+    hot = counts.filter(F.col("n") > split_above).select("client_id")
+    if hot_clients <= max_listed:
+        listed = [row.client_id for row in hot.collect()]
         names = [name for name in listed if name is not None]
         is_hot = F.coalesce(F.col("client_id").isin(names), F.lit(None in listed))
         marked = tickets.withColumn("_hot", is_hot)
@@ -64,9 +67,20 @@ def partition_by_client(
 
     # Equal keys share a partition: cold clients have one key, hot ones many.
     cut = [F.when(F.col("_hot"), F.col(column)) for column in order[1:]]
-    sizes = [] if partitions is None else [partitions]
     return (
         marked.repartitionByRange(*sizes, "client_id", *cut)
         .drop("_hot")
         .sortWithinPartitions(*order)
     )
+
+
+def _partition_count(
+    tickets: DataFrame, partitions: int | None, total: int, split_above: int
+) -> list[int]:
+    """Arguments for the exchange: nothing leaves the number to the adaptive planner."""
+    if partitions is not None:
+        return [partitions]
+    # Half full on average, because hashing does not fill partitions evenly.
+    needed = -(-2 * total // split_above)
+    default = int(tickets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return [needed] if needed > default else []

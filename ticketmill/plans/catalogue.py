@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmill import operators as ops
-from ticketmill.plans.job import JobConfig, enriched_tickets, start_job
+from ticketmill.plans.job import JobConfig, catch_up, enriched_tickets
 from ticketmill.schema import TEAM_BY_REQUEST_TYPE, TICKET_FIELDS
 from ticketmill.session import pin_utc, scratch_dir
 from ticketmill.sinks import EXPORTS, BatchExporter, latest_counts, read_export, read_totals
@@ -67,12 +67,24 @@ def _record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_records(stream_events(spark, sf_dir))
 
 
-def _tickets(spark: SparkSession, sf_dir: str, parse_once: bool = False) -> DataFrame:
-    return enriched_tickets(_records(spark, sf_dir), parse_once=parse_once)
+# Here the payload is computed, not stored. parse_once also keeps that computation in
+# generated code: merged into the projection of the JSON parse it would be interpreted.
 
 
-def _ticket_stream(spark: SparkSession, sf_dir: str, parse_once: bool = False) -> DataFrame:
-    return enriched_tickets(_record_stream(spark, sf_dir), parse_once=parse_once)
+def _parsed(records: DataFrame) -> DataFrame:
+    return ops.parse_tickets(records, parse_once=True)
+
+
+def _enriched(records: DataFrame) -> DataFrame:
+    return enriched_tickets(records, parse_once=True)
+
+
+def _tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _enriched(_records(spark, sf_dir))
+
+
+def _ticket_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _enriched(_record_stream(spark, sf_dir))
 
 
 def _time_text(column: str) -> Column:
@@ -143,7 +155,7 @@ def scan_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def parse_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ticket_text(ops.parse_tickets(_records(spark, sf_dir)))
+    return _ticket_text(_parsed(_records(spark, sf_dir)))
 
 
 @_query
@@ -157,7 +169,7 @@ def enrich_team_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     teams = spark.createDataFrame(
         list(TEAM_BY_REQUEST_TYPE.items()), "request_type STRING, assigned_team STRING"
     )
-    tickets = ops.parse_tickets(_records(spark, sf_dir))
+    tickets = _parsed(_records(spark, sf_dir))
     return _ticket_text(ops.enrich_tickets_from_table(tickets, teams), "assigned_team")
 
 
@@ -187,7 +199,7 @@ def _damaged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def parse_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parity mode on damaged records: every record stays, with null columns."""
-    tickets = ops.enrich_tickets(ops.parse_tickets(_damaged_records(spark, sf_dir)))
+    tickets = _enriched(_damaged_records(spark, sf_dir))
     return _ticket_text(tickets, "assigned_team")
 
 
@@ -258,19 +270,19 @@ def rollup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def window_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tickets = _tickets(spark, sf_dir, parse_once=True)
+    tickets = _tickets(spark, sf_dir)
     return _window_text(ops.window_counts_by_type(tickets), TYPE_KEYS)
 
 
 @_query
 def window_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tickets = _tickets(spark, sf_dir, parse_once=True)
+    tickets = _tickets(spark, sf_dir)
     return _window_text(ops.window_counts_by_priority(tickets), PRIORITY_KEYS)
 
 
 def _closed_windows(spark: SparkSession, sf_dir: str, name: str, keys: Sequence[str]) -> DataFrame:
     out = scratch_dir(spark, name)
-    tickets = _ticket_stream(spark, sf_dir, parse_once=True)
+    tickets = _ticket_stream(spark, sf_dir)
     wait_for(
         start_window_table(tickets, keys, f"{out}/data", f"{out}/checkpoint", name, trigger=ONCE)
     )
@@ -281,7 +293,7 @@ def _changed_windows(
     spark: SparkSession, sf_dir: str, name: str, keys: Sequence[str]
 ) -> DataFrame:
     out = scratch_dir(spark, name)
-    tickets = _ticket_stream(spark, sf_dir, parse_once=True)
+    tickets = _ticket_stream(spark, sf_dir)
     wait_for(
         start_window_changes(tickets, keys, f"{out}/data", f"{out}/checkpoint", name, trigger=ONCE)
     )
@@ -342,7 +354,7 @@ def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
             due = due | critical
         tickets = event_tickets(_between(events, cuts, part - 1, part + 1)).filter(due)
         ticket_records(tickets).write.mode("append").parquet(f"{out}/topic")
-        arrived = enriched_tickets(stream_records(spark, f"{out}/topic"), parse_once=True)
+        arrived = _enriched(stream_records(spark, f"{out}/topic"))
         wait_for(
             start_window_table(
                 arrived,
@@ -398,7 +410,7 @@ def sink_cumulative_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     cuts = _time_cuts(events)
     for part in range(PARTS):
         batch = event_records(_between(events, cuts, part, part + 1))
-        exporter(enriched_tickets(batch), part)
+        exporter(_enriched(batch), part)
     return _tagged({name: read_export(spark, root, name) for name in EXPORTS})
 
 
@@ -418,7 +430,8 @@ def stream_total_by_client(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publish_keyed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyed records written client by client, then read back and parsed."""
     out = scratch_dir(spark, "publish_keyed_json")
-    tickets = ops.partition_by_client(event_tickets(read_events(spark, sf_dir)))
+    events = read_events(spark, sf_dir)
+    tickets = ops.partition_by_client(event_tickets(events), tell_apart=["event_id"])
     ops.keyed_records(tickets).write.parquet(f"{out}/topic")
     records = read_records(spark, f"{out}/topic")
     parsed = ops.decode_records(records, "key")
@@ -432,7 +445,8 @@ def partition_by_client(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per client: tickets written and number of files they are in."""
     out = scratch_dir(spark, "partition_by_client")
     tickets = event_tickets(read_events(spark, sf_dir))
-    ops.partition_by_client(tickets).select(*TICKET_FIELDS).write.parquet(f"{out}/data")
+    placed = ops.partition_by_client(tickets, tell_apart=["event_id"])
+    placed.select(*TICKET_FIELDS).write.parquet(f"{out}/data")
     return (
         spark.read.schema("client_id STRING")
         .parquet(f"{out}/data")
@@ -446,16 +460,10 @@ def partition_by_client(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def concurrent_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The four queries of the job run side by side; what each one counted."""
+    """The job: ingest, then three queries side by side; what each one counted."""
     out = scratch_dir(spark, "concurrent_queries")
-    config = JobConfig(
-        output_path=f"{out}/data",
-        checkpoint_path=f"{out}/checkpoints",
-        fan_out="source",
-        ingest_trigger=ONCE,
-        export_trigger=ONCE,
-    )
-    wait_for(*start_job(spark, _record_stream(spark, sf_dir), config))
+    config = JobConfig(output_path=f"{out}/data", checkpoint_path=f"{out}/checkpoints")
+    catch_up(spark, _record_stream(spark, sf_dir), config)
 
     def window_total(name: str, keys: Sequence[str]) -> DataFrame:
         counts = latest_counts(spark, f"{out}/data/{name}", *keys)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -25,10 +25,12 @@ from ticketmill.streaming import (
     start_rejects,
     start_window_changes,
     start_window_table,
+    wait_for,
 )
 from ticketmill.streaming.queries import (
     EVERY_EXPORT,
     EVERY_INGEST,
+    ONCE,
     PRIORITY_KEYS,
     TYPE_KEYS,
     Trigger,
@@ -74,6 +76,9 @@ class JobConfig:
             exports_in_place=env.get("EXPORTS_IN_PLACE", "false").lower() == "true",
         )
 
+    def table(self, name: str) -> str:
+        return f"{self.output_path.rstrip('/')}/{name}"
+
     def __post_init__(self) -> None:
         if self.fan_out not in ("table", "source"):
             raise ValueError(f"unknown fan_out: {self.fan_out}")
@@ -97,50 +102,58 @@ def checkpoint_root(spark: SparkSession, config: JobConfig) -> str:
     return f"{shared}/ticketmill/{config.topic}"
 
 
-def start_job(
+def start_ingest(
     spark: SparkSession, records: DataFrame, config: JobConfig
 ) -> list[StreamingQuery]:
-    """Start every query over a record stream and return them, ingest first."""
-    out, checkpoints = config.output_path.rstrip("/"), checkpoint_root(spark, config)
-    exporter = BatchExporter(out, mode=config.export_mode, in_place=config.exports_in_place)
-    enriched = enriched_tickets(records, config.strict)
-    table = f"{out}/enriched_tickets"
-
+    """Start the query that fills the enriched table and, in strict mode, the rejects."""
+    checkpoints = checkpoint_root(spark, config)
     queries = [
         start_enriched_table(
-            enriched, table, f"{checkpoints}/enriched_tickets", config.ingest_trigger
+            enriched_tickets(records, config.strict),
+            config.table("enriched_tickets"),
+            f"{checkpoints}/enriched_tickets",
+            config.ingest_trigger,
         )
     ]
     if config.strict:
         queries.append(
             start_rejects(
                 rejected_records(records),
-                f"{out}/rejected_records",
+                config.table("rejected_records"),
                 f"{checkpoints}/rejected_records",
                 config.ingest_trigger,
             )
         )
+    return queries
+
+
+def start_counting(
+    spark: SparkSession, records: DataFrame, config: JobConfig
+) -> list[StreamingQuery]:
+    """Start the two windowed counts and the batch exports."""
+    checkpoints = checkpoint_root(spark, config)
     if config.fan_out == "table":
-        # The sink creates its commit log when the query starts, so the table can be
-        # followed right away.
-        timed = tickets = stream_enriched(spark, table)
+        timed = tickets = stream_enriched(spark, config.table("enriched_tickets"))
     else:
-        tickets = enriched
         timed = enriched_tickets(records, config.strict, parse_once=True)
+        tickets = enriched_tickets(records, config.strict)
 
     start_windows = start_window_changes if config.windows == "update" else start_window_table
-    for name, keys in (("tickets_by_type", TYPE_KEYS), ("tickets_by_priority", PRIORITY_KEYS)):
-        queries.append(
-            start_windows(
-                timed,
-                keys,
-                f"{out}/{name}",
-                f"{checkpoints}/{name}",
-                name,
-                config.ingest_trigger,
-                config.state_partitions,
-            )
+    queries = [
+        start_windows(
+            timed,
+            keys,
+            config.table(name),
+            f"{checkpoints}/{name}",
+            name,
+            config.ingest_trigger,
+            config.state_partitions,
         )
+        for name, keys in (("tickets_by_type", TYPE_KEYS), ("tickets_by_priority", PRIORITY_KEYS))
+    ]
+    exporter = BatchExporter(
+        config.output_path, mode=config.export_mode, in_place=config.exports_in_place
+    )
     queries.append(
         start_exports(
             tickets, exporter, f"{checkpoints}/batch_aggregations", config.export_trigger
@@ -149,6 +162,27 @@ def start_job(
     return queries
 
 
+def start_job(
+    spark: SparkSession, records: DataFrame, config: JobConfig
+) -> list[StreamingQuery]:
+    """Start every query over a record stream and return them, ingest first.
+
+    Starting the ingest creates the commit log of the enriched table, so the table can
+    be followed right away.
+    """
+    return start_ingest(spark, records, config) + start_counting(spark, records, config)
+
+
+def catch_up(spark: SparkSession, records: DataFrame, config: JobConfig) -> None:
+    """Process what has arrived so far and return: first the ingest, then the counts.
+
+    For scheduled runs. Run again, it continues where the last run ended.
+    """
+    bounded = replace(config, ingest_trigger=ONCE, export_trigger=ONCE)
+    wait_for(*start_ingest(spark, records, bounded))
+    wait_for(*start_counting(spark, records, bounded))
+
+
 def run(config: JobConfig, spark: SparkSession | None = None) -> None:
     """Run until any query ends; a failed one ends the process with its error."""
     spark = spark or build_session()

@@ -5,7 +5,7 @@ from ticketmill.sources.events import (
     stream_events,
     ticket_records,
 )
-from ticketmill.sources.kafka import publish_to_kafka, stream_kafka
+from ticketmill.sources.kafka import publish_to_kafka, start_kafka_publish, stream_kafka
 from ticketmill.sources.records import read_records, stream_enriched, stream_records
 
 __all__ = [
@@ -14,6 +14,7 @@ __all__ = [
     "publish_to_kafka",
     "read_events",
     "read_records",
+    "start_kafka_publish",
     "stream_enriched",
     "stream_events",
     "stream_kafka",

@@ -40,7 +40,9 @@ def _zero_padded(text: Column, width: int) -> Column:
 
 def event_tickets(events: DataFrame) -> DataFrame:
     """One ticket per event: the six wire fields as text, plus event_id, user_id and ts."""
-    digit = F.get_json_object("props", "$.k").cast("int") % 10
+    # A column of its own, so that the three comparisons below read props once.
+    events = events.withColumn("digit", F.get_json_object("props", "$.k").cast("int") % 10)
+    digit = F.col("digit")
     kind = F.create_map(*[F.lit(part) for pair in REQUEST_TYPE_BY_EVENT.items() for part in pair])
     return events.select(
         "event_id",

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from ticketmill.schema import TOPIC
 
@@ -46,3 +49,24 @@ def publish_to_kafka(records: DataFrame, servers: str, topic: str = TOPIC) -> No
         .option("topic", topic)
         .save()
     )
+
+
+def start_kafka_publish(
+    records: DataFrame,
+    servers: str,
+    checkpoint: str,
+    topic: str = TOPIC,
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """Send a stream of keyed records as they come. A restart may repeat some of them."""
+    return (
+        records.select("key", "value")
+        .writeStream.queryName(f"publish_{topic}")
+        .format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("kafka.acks", "all")
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "1 second"}))
+        .start()
+    )

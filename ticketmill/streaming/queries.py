@@ -56,12 +56,11 @@ def start_rejects(
     trigger: Trigger = EVERY_INGEST,
     name: str = "rejected_records",
 ) -> StreamingQuery:
-    """Append refused records to Parquet, partitioned by reason."""
+    """Append refused records to Parquet."""
     return (
         _writer(rejected, name, checkpoint, trigger)
         .outputMode("append")
         .format("parquet")
-        .partitionBy("reject_reason")
         .start(path)
     )
 
