@@ -1,6 +1,7 @@
 """Streaming queries against their batch forms, late data and restarts."""
 
 import os
+from datetime import date
 
 import pytest
 from conftest import row_set, rows, utc
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ticketmill import operators as ops
 from ticketmill.plans.job import enriched_tickets
-from ticketmill.sinks import latest_counts
+from ticketmill.sinks import change_writer, latest_counts, read_changes
 from ticketmill.sources import event_records, read_events, read_records, stream_records
 from ticketmill.streaming import (
     start_enriched_table,
@@ -74,6 +75,8 @@ def test_late_data_in_update_mode(spark, late_files, tmp_path):
         (3, "00:10", 2),
         (4, "00:30", 1),
     }
+    sizes = log.groupBy("batch_id").count()
+    assert sizes.count() == 5  # the last micro-batch has no data and changes nothing
     latest = latest_counts(spark, out).select(window_start(), "ticket_count")
     assert row_set(latest) == {("00:00", 4), ("00:05", 2), ("00:10", 2), ("00:30", 1)}
 
@@ -190,3 +193,52 @@ def test_state_partitions_are_bounded_and_restored(spark, topic, tmp_path):
     wait_for(query)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert len(os.listdir(tmp_path / "checkpoint" / "state" / "0")) == 2 + 1  # and _metadata
+
+
+def test_change_log_by_day(spark, tmp_path):
+    """A retried batch replaces its own entries, and only wanted days are read."""
+    out = str(tmp_path / "out")
+    write = change_writer(out)
+
+    def changed(counts):
+        return spark.createDataFrame(
+            [((utc(start), utc(start)), "low", n) for start, n in counts],
+            "window STRUCT<start: TIMESTAMP, end: TIMESTAMP>, priority STRING, ticket_count BIGINT",
+        )
+
+    late, early = "2026-01-01T23:55:00", "2026-01-02T00:00:00"
+    write(changed([(late, 1), (early, 5)]), 0)
+    write(changed([(late, 2)]), 1)
+    write(changed([(late, 2)]), 1)
+    write(changed([]), 2)
+    assert read_changes(spark, out, "priority").count() == 3
+
+    def latest(**days):
+        found = latest_counts(spark, out, "priority", **days)
+        return found, sorted(rows(found.select(window_start(), "ticket_count")))
+
+    assert latest()[1] == [("00:00", 5), ("23:55", 2)]
+    found, counts = latest(first_day=date(2026, 1, 2))
+    assert counts == [("00:00", 5)]
+    assert len(found.inputFiles()) == 3  # listed; the plan reads one folder
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    assert latest(last_day=date(2026, 1, 1))[1] == [("23:55", 2)]
+
+
+def test_change_log_adds_few_files(spark, topic, tmp_path):
+    """A file per hour at most, and never more than there are tasks."""
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    stream = enriched_tickets(stream_records(spark, topic))
+    wait_for(start_window_changes(stream, TYPE_KEYS, out, checkpoint, "days", ONCE))
+    for folder in (tmp_path / "out").glob("day=*/batch_id=*"):
+        assert len(list(folder.glob("part-*.parquet"))) <= 4
+
+    write = change_writer(str(tmp_path / "live"))
+    starts = [utc(f"2026-01-01T10:{minute:02d}:00") for minute in range(0, 60, 5)]
+    changed = spark.createDataFrame(
+        [((start, start), kind, 1) for start in starts for kind in ("low", "high")],
+        "window STRUCT<start: TIMESTAMP, end: TIMESTAMP>, priority STRING, ticket_count BIGINT",
+    )
+    write(changed.repartition(4), 0)
+    assert len(list((tmp_path / "live").glob("day=*/batch_id=0/part-*.parquet"))) == 1

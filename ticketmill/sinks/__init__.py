@@ -1,4 +1,4 @@
-from ticketmill.sinks.changes import change_writer, latest_counts
+from ticketmill.sinks.changes import change_writer, latest_counts, read_changes
 from ticketmill.sinks.exports import EXPORTS, BatchExporter, read_export, read_totals
 
 __all__ = [
@@ -6,6 +6,7 @@ __all__ = [
     "BatchExporter",
     "change_writer",
     "latest_counts",
+    "read_changes",
     "read_export",
     "read_totals",
 ]

@@ -1,8 +1,9 @@
-"""Durable form of update mode: a log of changed counts, one folder per micro-batch."""
+"""Durable form of update mode: a log of changed counts per day and micro-batch."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,18 +12,54 @@ from ticketmill.operators.counts import COUNT
 
 
 def change_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function. A batch delivered twice overwrites its own folder."""
+    """A foreachBatch function that logs the windowed counts a micro-batch changed.
+
+    The log is partitioned by the day of the window and by batch. A batch delivered
+    twice changes the same windows, so it overwrites its own partitions. The counts are
+    gathered by hour first, so that a trigger adds a file per hour it touched (mostly one)
+    and not one per state partition and day.
+    """
 
     def write(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        (
+            changed.withColumns(
+                {
+                    "day": F.to_date("window.start"),
+                    "batch_id": F.lit(batch_id).cast("bigint"),
+                }
+            )
+            .repartition("day", F.hour("window.start"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day", "batch_id")
+            .parquet(path)
+        )
 
     return write
 
 
-def latest_counts(spark: SparkSession, path: str, *keys: str) -> DataFrame:
-    """The current count per window and key: the entry of the latest batch wins."""
-    return (
-        spark.read.parquet(path)
-        .groupBy("window", *keys)
-        .agg(F.max_by(COUNT, "batch_id").alias(COUNT))
-    )
+def read_changes(spark: SparkSession, path: str, *keys: str) -> DataFrame:
+    """The log itself. All keys are ticket fields, hence text."""
+    texts = "".join(f"{key} STRING, " for key in keys)
+    window = "window STRUCT<start: TIMESTAMP, end: TIMESTAMP>"
+    schema = f"{window}, {texts}{COUNT} BIGINT, day DATE, batch_id BIGINT"
+    return spark.read.schema(schema).parquet(path)
+
+
+def latest_counts(
+    spark: SparkSession,
+    path: str,
+    *keys: str,
+    first_day: date | None = None,
+    last_day: date | None = None,
+) -> DataFrame:
+    """The current count per window and key: the entry of the latest batch wins.
+
+    Only the folders of the wanted days are read.
+    """
+    changes = read_changes(spark, path, *keys)
+    if first_day is not None:
+        changes = changes.filter(F.col("day") >= F.lit(first_day))
+    if last_day is not None:
+        changes = changes.filter(F.col("day") <= F.lit(last_day))
+    return changes.groupBy("window", *keys).agg(F.max_by(COUNT, "batch_id").alias(COUNT))
