@@ -126,6 +126,25 @@ def test_failed_query_raises(spark, topic, tmp_path):
     assert not any(query.isActive for query in queries)
 
 
+def test_run_ends_with_the_error_of_a_failed_query(spark, topic, tmp_path, monkeypatch):
+    def broken_topic(session, servers, name, **options):
+        assert (session, servers, name) == (spark, "localhost:9092", "client_tickets")
+        assert options == {"fail_on_data_loss": True, "max_offsets_per_trigger": None}
+        failing = F.raise_error(F.lit("broken record")).cast("binary")
+        return stream_records(session, topic).withColumn("value", failing)
+
+    monkeypatch.setattr(job, "stream_kafka", broken_topic)
+    with pytest.raises(Exception, match="broken record"):
+        job.run(config(tmp_path, ingest_trigger=SOON, export_trigger=SOON), spark)
+    assert not spark.streams.active
+
+
+def test_triggers_are_those_of_the_contract(tmp_path):
+    setup = config(tmp_path)
+    assert setup.ingest_trigger == {"processingTime": "30 seconds"}
+    assert setup.export_trigger == {"processingTime": "60 seconds"}
+
+
 def test_checkpoints_default_to_the_shared_folder(spark, monkeypatch):
     setup = JobConfig("out")
     monkeypatch.setattr(job, "shared_folder", lambda session: "/shared")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import timedelta
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +44,7 @@ COUNT = "ticket_count"
 
 
 def _query(function: Query) -> Query:
+    @wraps(function)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         pin_utc(spark)
         return function(spark, sf_dir)
