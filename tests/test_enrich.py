@@ -1,7 +1,7 @@
 import pytest
 from conftest import rows
 
-from ticketmill.operators import enrich_tickets, enrich_tickets_from_table
+from ticketmill.operators import enrich_tickets, enrich_tickets_from_table, team_table
 from ticketmill.schema import TEAM_BY_REQUEST_TYPE
 
 TYPES = [
@@ -47,6 +47,10 @@ def test_mapping_table(spark, typed, broadcast_bytes):
     )
 
 
+def test_mapping_as_table(spark):
+    assert dict(rows(team_table(spark))) == TEAM_BY_REQUEST_TYPE
+
+
 def test_empty_mapping_table(spark, typed):
     teams = spark.createDataFrame([], "request_type STRING, assigned_team STRING")
     found = enrich_tickets_from_table(typed, teams)

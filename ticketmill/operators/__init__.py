@@ -12,7 +12,7 @@ from ticketmill.operators.counts import (
     window_counts_by_type,
     with_hour,
 )
-from ticketmill.operators.enrich import enrich_tickets, enrich_tickets_from_table
+from ticketmill.operators.enrich import enrich_tickets, enrich_tickets_from_table, team_table
 from ticketmill.operators.parse import decode_records, parse_tickets
 from ticketmill.operators.publish import keyed_records, partition_by_client
 from ticketmill.operators.validate import accepted_tickets, check_records, rejected_records
@@ -34,6 +34,7 @@ __all__ = [
     "rejected_records",
     "rollup_counts",
     "row_count",
+    "team_table",
     "top_clients",
     "window_counts",
     "window_counts_by_priority",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmill.functions import team_for
@@ -28,6 +28,16 @@ def enrich_tickets(
     )
 
 
+def team_table(
+    spark: SparkSession, teams: Mapping[str, str] = TEAM_BY_REQUEST_TYPE
+) -> DataFrame:
+    """A literal mapping as a table (request_type, assigned_team)."""
+    entries = [F.lit(part) for pair in teams.items() for part in pair]
+    return spark.range(1).select(
+        F.explode(F.create_map(*entries)).alias("request_type", "assigned_team")
+    )
+
+
 def enrich_tickets_from_table(
     tickets: DataFrame,
     teams: DataFrame,

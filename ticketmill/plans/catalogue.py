@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ticketmill import operators as ops
 from ticketmill.plans.job import JobConfig, catch_up, enriched_tickets
-from ticketmill.schema import TEAM_BY_REQUEST_TYPE, TICKET_FIELDS
+from ticketmill.schema import TICKET_FIELDS
 from ticketmill.session import pin_utc, scratch_dir
 from ticketmill.sinks import EXPORTS, BatchExporter, latest_counts, read_export, read_totals
 from ticketmill.sources import (
@@ -167,11 +167,9 @@ def enrich_team(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def enrich_team_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The enrichment with the team mapping as a joined table."""
-    teams = spark.createDataFrame(
-        list(TEAM_BY_REQUEST_TYPE.items()), "request_type STRING, assigned_team STRING"
-    )
     tickets = _parsed(_records(spark, sf_dir))
-    return _ticket_text(ops.enrich_tickets_from_table(tickets, teams), "assigned_team")
+    enriched = ops.enrich_tickets_from_table(tickets, ops.team_table(spark))
+    return _ticket_text(enriched, "assigned_team")
 
 
 def damaged_payload() -> Column:
