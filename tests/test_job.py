@@ -129,7 +129,11 @@ def test_failed_query_raises(spark, topic, tmp_path):
 def test_run_ends_with_the_error_of_a_failed_query(spark, topic, tmp_path, monkeypatch):
     def broken_topic(session, servers, name, **options):
         assert (session, servers, name) == (spark, "localhost:9092", "client_tickets")
-        assert options == {"fail_on_data_loss": True, "max_offsets_per_trigger": None}
+        assert options == {
+            "fail_on_data_loss": True,
+            "max_offsets_per_trigger": None,
+            "min_partitions": None,
+        }
         failing = F.raise_error(F.lit("broken record")).cast("binary")
         return stream_records(session, topic).withColumn("value", failing)
 
@@ -167,11 +171,14 @@ def test_config_from_environment(spark):
             "STRICT": "true",
             "EXPORT_MODE": "cumulative",
             "MAX_OFFSETS_PER_TRIGGER": "1000",
+            "MIN_PARTITIONS": "64",
+            "STATE_PARTITIONS": "",
         }
     )
     assert (changed.servers, changed.topic, changed.output_path) == ("b:1", "t", "/o")
     assert (changed.strict, changed.export_mode) == (True, "cumulative")
     assert changed.max_offsets_per_trigger == 1000
+    assert (changed.min_partitions, changed.state_partitions) == (64, None)
     assert checkpoint_root(spark, changed) == "/c"
     with pytest.raises(ValueError):
         JobConfig("/o", fan_out="other")

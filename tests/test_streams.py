@@ -5,14 +5,22 @@ from datetime import date
 
 import pytest
 from conftest import row_set, rows, utc
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ticketmill import operators as ops
 from ticketmill.plans.job import enriched_tickets
-from ticketmill.sinks import change_writer, latest_counts, read_changes
+from ticketmill.sinks import (
+    BatchExporter,
+    change_writer,
+    latest_counts,
+    read_changes,
+    read_export,
+)
 from ticketmill.sources import event_records, read_events, read_records, stream_records
 from ticketmill.streaming import (
     start_enriched_table,
+    start_exports,
     start_window_changes,
     start_window_table,
     wait_for,
@@ -242,3 +250,54 @@ def test_change_log_adds_few_files(spark, topic, tmp_path):
     )
     write(changed.repartition(4), 0)
     assert len(list((tmp_path / "live").glob("day=*/batch_id=0/part-*.parquet"))) == 1
+
+
+@pytest.mark.parametrize("mode", ["last_batch", "cumulative"])
+def test_exports_after_a_lost_commit(spark, topic, tmp_path, mode):
+    """The process dies between publishing a batch and the stream's commit of it."""
+    root, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    exporter = BatchExporter(root, mode=mode)
+    crashes = [2, 4]
+
+    def export_then_crash(batch, batch_id):
+        exporter(batch, batch_id)
+        if crashes and batch_id == crashes[0]:
+            crashes.pop(0)
+            raise OSError("process lost")
+
+    for _ in range(2):
+        with pytest.raises(StreamingQueryException, match="process lost"):
+            wait_for(start_exports(in_time_order(spark, topic), export_then_crash, checkpoint, ONCE))
+    wait_for(start_exports(in_time_order(spark, topic), export_then_crash, checkpoint, ONCE))
+    assert not crashes
+
+    tickets = enriched_tickets(read_records(spark, topic))
+    if mode == "last_batch":
+        tickets = tickets.filter(F.expr("conv(substr(ticket_id, 4), 16, 10) * 6 >= 5000"))
+    assert rows(read_export(spark, root, "agg_by_type")) == rows(ops.count_by_type(tickets))
+    assert rows(read_export(spark, root, "agg_top_clients")) == rows(ops.top_clients(tickets))
+
+
+def test_change_log_after_a_lost_commit(spark, topic, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    crashes = [1, 3]
+
+    def write_then_crash(changed, batch_id):
+        change_writer(out)(changed, batch_id)
+        if crashes and batch_id == crashes[0]:
+            crashes.pop(0)
+            raise OSError("process lost")
+
+    def run():
+        counts = ops.window_counts(in_time_order(spark, topic), *TYPE_KEYS)
+        writer = counts.writeStream.outputMode("update").foreachBatch(write_then_crash)
+        writer = writer.option("checkpointLocation", checkpoint).trigger(**ONCE)
+        wait_for(writer.start())
+
+    for _ in range(2):
+        with pytest.raises(StreamingQueryException, match="process lost"):
+            run()
+    run()
+    expected = ops.window_counts(enriched_tickets(read_records(spark, topic)), *TYPE_KEYS)
+    latest = latest_counts(spark, out, *TYPE_KEYS)
+    assert text_counts(latest, TYPE_KEYS) == text_counts(expected, TYPE_KEYS)

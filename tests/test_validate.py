@@ -2,6 +2,8 @@ import json
 
 import pytest
 from conftest import M1, make_records, rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from ticketmill.operators import accepted_tickets, parse_tickets, rejected_records
 from ticketmill.schema import TICKET_FIELDS
@@ -52,3 +54,47 @@ def test_full_time_is_required(spark, text, valid):
     assert accepted_tickets(records).count() == int(valid)
     expected = [] if valid else [("bad_created_at",)]
     assert rows(rejected_records(records).select("reject_reason")) == expected
+
+
+field_value = st.one_of(st.none(), st.just("gone"), st.sampled_from(["", "x", "maintenance"]))
+time_value = st.sampled_from(
+    [None, "gone", "2026-01-01T00:00:00Z", "2026-13-01T00:00:00Z", "2026-01-01", "later"]
+)
+drawn_record = st.one_of(
+    st.sampled_from([None, "", "{", "[1]", "{}"]),
+    st.fixed_dictionaries(
+        {name: time_value if name == "created_at" else field_value for name in TICKET_FIELDS}
+    ),
+)
+
+
+def expected_reason(record):
+    if record is None:
+        return "null_value"
+    if isinstance(record, str):
+        return "no_ticket_fields"
+    found = {name: None if value == "gone" else value for name, value in record.items()}
+    if not any(value is not None for value in found.values()):
+        return "no_ticket_fields"
+    for name in TICKET_FIELDS:
+        if found[name] is None:
+            return f"missing_{name}"
+    return None if found["created_at"] == "2026-01-01T00:00:00Z" else "bad_created_at"
+
+
+@settings(
+    max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.lists(drawn_record, min_size=1, max_size=40))
+def test_reasons_against_brute_force(spark, drawn):
+    payloads = [
+        json.dumps({name: value for name, value in record.items() if value != "gone"})
+        if isinstance(record, dict)
+        else record
+        for record in drawn
+    ]
+    records = make_records(spark, payloads)
+    expected = [expected_reason(record) for record in drawn]
+    rejected = rows(rejected_records(records).select("offset", "reject_reason"))
+    assert rejected == [(i, reason) for i, reason in enumerate(expected) if reason]
+    assert accepted_tickets(records).count() == expected.count(None)

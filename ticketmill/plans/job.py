@@ -16,7 +16,7 @@ from ticketmill.operators import (
     rejected_records,
 )
 from ticketmill.schema import TOPIC
-from ticketmill.session import build_session, shared_folder
+from ticketmill.session import build_session, pin_utc, shared_folder
 from ticketmill.sinks import BatchExporter
 from ticketmill.sources import stream_enriched, stream_kafka
 from ticketmill.streaming import (
@@ -46,6 +46,8 @@ class JobConfig:
     topic: str = TOPIC
     fail_on_data_loss: bool = True
     max_offsets_per_trigger: int | None = None
+    # More tasks than topic partitions: a hot client makes its topic partition hot.
+    min_partitions: int | None = None
     # Refuse malformed records instead of storing and counting them.
     strict: bool = False
     # "table": records are read and parsed once, into the enriched table, and the
@@ -61,14 +63,18 @@ class JobConfig:
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ) -> JobConfig:
-        limit = env.get("MAX_OFFSETS_PER_TRIGGER")
+        def number(name: str) -> int | None:
+            return int(env[name]) if env.get(name) else None
+
         return cls(
             servers=env.get("KAFKA_BROKER", "localhost:9092"),
             topic=env.get("TOPIC_NAME", TOPIC),
             output_path=env.get("OUTPUT_PATH", "output"),
             checkpoint_path=env.get("CHECKPOINT_PATH"),
             fail_on_data_loss=env.get("FAIL_ON_DATA_LOSS", "true").lower() == "true",
-            max_offsets_per_trigger=int(limit) if limit else None,
+            max_offsets_per_trigger=number("MAX_OFFSETS_PER_TRIGGER"),
+            min_partitions=number("MIN_PARTITIONS"),
+            state_partitions=number("STATE_PARTITIONS"),
             strict=env.get("STRICT", "false").lower() == "true",
             fan_out=env.get("FAN_OUT", "table"),
             windows=env.get("WINDOW_OUTPUT", "update"),
@@ -106,6 +112,7 @@ def start_ingest(
     spark: SparkSession, records: DataFrame, config: JobConfig
 ) -> list[StreamingQuery]:
     """Start the query that fills the enriched table and, in strict mode, the rejects."""
+    pin_utc(spark)
     checkpoints = checkpoint_root(spark, config)
     queries = [
         start_enriched_table(
@@ -131,6 +138,7 @@ def start_counting(
     spark: SparkSession, records: DataFrame, config: JobConfig
 ) -> list[StreamingQuery]:
     """Start the two windowed counts and the batch exports."""
+    pin_utc(spark)
     checkpoints = checkpoint_root(spark, config)
     if config.fan_out == "table":
         timed = tickets = stream_enriched(spark, config.table("enriched_tickets"))
@@ -192,6 +200,7 @@ def run(config: JobConfig, spark: SparkSession | None = None) -> None:
         config.topic,
         fail_on_data_loss=config.fail_on_data_loss,
         max_offsets_per_trigger=config.max_offsets_per_trigger,
+        min_partitions=config.min_partitions,
     )
     spark.streams.resetTerminated()
     queries = start_job(spark, records, config)
