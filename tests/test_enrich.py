@@ -3,6 +3,8 @@ from conftest import rows
 
 from ticketmill.operators import enrich_tickets, enrich_tickets_from_table, team_table
 from ticketmill.schema import TEAM_BY_REQUEST_TYPE
+from ticketmill.streaming import start_enriched_table, wait_for
+from ticketmill.streaming.queries import ONCE
 
 TYPES = [
     ("incident_technique", "Equipe Infrastructure"),
@@ -59,3 +61,14 @@ def test_empty_mapping_table(spark, typed):
 
 def test_one_processing_time(typed):
     assert enrich_tickets(typed).select("processing_timestamp").distinct().count() == 1
+
+
+def test_mapping_table_on_a_stream(spark, typed, tmp_path):
+    typed.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(typed.schema).parquet(str(tmp_path / "in"))
+    enriched = enrich_tickets_from_table(stream, team_table(spark))
+    wait_for(
+        start_enriched_table(enriched, str(tmp_path / "out"), str(tmp_path / "checkpoint"), ONCE)
+    )
+    found = spark.read.parquet(str(tmp_path / "out")).select("request_type", "assigned_team")
+    assert sorted(rows(found), key=str) == sorted(TYPES, key=str)
