@@ -76,7 +76,8 @@ def test_windows(tickets):
 
 
 def test_window_before_epoch_is_aligned(spark):
-    frame = spark.sql("SELECT TIMESTAMP'1969-12-31 23:59:59.999999' AS created_at, 'low' AS priority")
+    last_moment = "TIMESTAMP'1969-12-31 23:59:59.999999'"
+    frame = spark.sql(f"SELECT {last_moment} AS created_at, 'low' AS priority")
     found = ops.window_counts_by_priority(frame).select(
         F.date_format("window.start", "yyyy-MM-dd HH:mm:ss")
     )

@@ -128,6 +128,13 @@ def test_modes_over_many_batches(spark, batches, tmp_path, mode):
     assert dict(rows(read_totals(spark, str(tmp_path), "by_client"))) == dict(clients)
 
 
+def test_number_of_slots_may_change(spark, batches, tmp_path):
+    for number, batch in enumerate(batches):
+        keep = (4, 5, 2, 3)[number % 4]
+        BatchExporter(str(tmp_path), mode="cumulative", keep=keep)(batch, number)
+    assert snapshot(spark, str(tmp_path)) == expected_exports(batches)
+
+
 @pytest.mark.parametrize("mode", ["last_batch", "cumulative"])
 def test_crash_between_targets(spark, batches, tmp_path, mode, monkeypatch):
     """Readers keep the previous batch until every target of the next is written."""

@@ -62,7 +62,8 @@ def layout(frame, path):
         "created_at",
         "ticket_id",
     )
-    return [(r.file, r.client_id, r.created_at, r.ticket_id) for r in read.orderBy("file", "row").collect()]
+    columns = ("file", "client_id", "created_at", "ticket_id")
+    return rows(read.orderBy("file", "row").select(*columns))
 
 
 def check_order(found, source):

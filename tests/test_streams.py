@@ -265,10 +265,14 @@ def test_exports_after_a_lost_commit(spark, topic, tmp_path, mode):
             crashes.pop(0)
             raise OSError("process lost")
 
+    def run():
+        stream = in_time_order(spark, topic)
+        wait_for(start_exports(stream, export_then_crash, checkpoint, ONCE))
+
     for _ in range(2):
         with pytest.raises(StreamingQueryException, match="process lost"):
-            wait_for(start_exports(in_time_order(spark, topic), export_then_crash, checkpoint, ONCE))
-    wait_for(start_exports(in_time_order(spark, topic), export_then_crash, checkpoint, ONCE))
+            run()
+    run()
     assert not crashes
 
     tickets = enriched_tickets(read_records(spark, topic))

@@ -138,8 +138,8 @@ class BatchExporter:
                     f"batch {batch_id} after published batch {last.batch_id}: the checkpoint "
                     f"was reset but {self.root} still holds its totals"
                 )
-        sequence = last.sequence + 1 if last else 0
-        slot = sequence % self.keep
+        # The slot after the newest one, never that one itself, also if keep was changed.
+        sequence, slot = (last.sequence + 1, (last.slot + 1) % self.keep) if last else (0, 0)
 
         counts = rollup_counts(batch)
         if self.mode == "cumulative" and last is not None:
