@@ -235,7 +235,7 @@ def test_change_log_by_day(spark, tmp_path):
 
 
 def test_change_log_adds_few_files(spark, topic, tmp_path):
-    """A file per hour at most, and never more than there are tasks."""
+    """At most a file per quarter of a day, and one for the windows of an hour."""
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
     stream = enriched_tickets(stream_records(spark, topic))
     wait_for(start_window_changes(stream, TYPE_KEYS, out, checkpoint, "days", ONCE))

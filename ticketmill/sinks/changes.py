@@ -16,8 +16,8 @@ def change_writer(path: str) -> Callable[[DataFrame, int], None]:
 
     The log is partitioned by the day of the window and by batch. A batch delivered
     twice changes the same windows, so it overwrites its own partitions. The counts are
-    gathered by hour first, so that a trigger adds a file per hour it touched (mostly one)
-    and not one per state partition and day.
+    gathered by quarter of a day first, so that a trigger adds a file per quarter it
+    touched (mostly one) and not one per state partition and day.
     """
 
     def write(changed: DataFrame, batch_id: int) -> None:
@@ -28,7 +28,7 @@ def change_writer(path: str) -> Callable[[DataFrame, int], None]:
                     "batch_id": F.lit(batch_id).cast("bigint"),
                 }
             )
-            .repartition("day", F.hour("window.start"))
+            .repartition("day", F.floor(F.hour("window.start") / 6))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("day", "batch_id")
