@@ -1,7 +1,9 @@
 """Streaming queries against their batch forms, late data and restarts."""
 
 import os
-from datetime import date
+import random
+from collections import Counter
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from conftest import row_set, rows, utc
@@ -39,13 +41,10 @@ LATE_FILES = [
 ]
 
 
-@pytest.fixture(scope="module")
-def late_files(spark, tmp_path_factory):
-    """One file per micro-batch, in a fixed order of modification times."""
-    folder = tmp_path_factory.mktemp("late")
-    for number, times in enumerate(LATE_FILES):
-        data = [(utc(DAY + time) if time else None,) for time in times]
-        frame = spark.createDataFrame(data, "created_at TIMESTAMP")
+def batch_files(spark, folder, batches):
+    """One file of times per micro-batch, in a fixed order of modification times."""
+    for number, times in enumerate(batches):
+        frame = spark.createDataFrame([(time,) for time in times], "created_at TIMESTAMP")
         frame.coalesce(1).write.parquet(str(folder / f"write-{number}"))
         (part,) = (folder / f"write-{number}").glob("part-*.parquet")
         target = folder / "in" / f"batch-{number}.parquet"
@@ -55,6 +54,12 @@ def late_files(spark, tmp_path_factory):
     return str(folder / "in")
 
 
+@pytest.fixture(scope="module")
+def late_files(spark, tmp_path_factory):
+    batches = [[utc(DAY + time) if time else None for time in times] for times in LATE_FILES]
+    return batch_files(spark, tmp_path_factory.mktemp("late"), batches)
+
+
 def late_stream(spark, path):
     return (
         spark.readStream.schema("created_at TIMESTAMP")
@@ -96,6 +101,52 @@ def test_late_data_in_append_mode(spark, late_files, tmp_path):
     assert row_set(closed) == {("00:00", 4), ("00:05", 2), ("00:10", 2)}
 
 
+def counted_windows(batches):
+    """The late-data rule in plain Python: counts per window, and the final watermark.
+
+    A micro-batch drops a time whose window was closed by the watermark of the
+    micro-batch before it, which knows the times of still earlier ones.
+    """
+    counts, watermark, previous = Counter(), None, None
+    newest = None
+    for times in batches:
+        for time in times:
+            start = datetime.fromtimestamp(time.timestamp() // 300 * 300, timezone.utc)
+            if previous is None or start + timedelta(minutes=5) > previous:
+                counts[start.strftime("%H:%M")] += 1
+        previous = watermark
+        newest = max([newest, *times] if newest else times)
+        watermark = newest - timedelta(minutes=1)
+    return counts, watermark
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_late_data(spark, tmp_path, seed):
+    draw = random.Random(seed)
+    base = utc(DAY + "06:00:00")
+    batches = [
+        [base + timedelta(seconds=240 * i + draw.gauss(0, 300)) for _ in range(40)]
+        for i in range(4, 11)
+    ]
+    source = batch_files(spark, tmp_path, batches)
+    expected, watermark = counted_windows(batches)
+    assert sum(expected.values()) < 7 * 40  # some are dropped
+
+    changes, table = str(tmp_path / "changes"), str(tmp_path / "table")
+    stream = late_stream(spark, source)
+    wait_for(
+        start_window_changes(stream, [], changes, str(tmp_path / "c1"), "late_update", ONCE),
+        start_window_table(stream, [], table, str(tmp_path / "c2"), "late_append", ONCE),
+    )
+    latest = latest_counts(spark, changes).select(window_start(), "ticket_count")
+    assert dict(rows(latest)) == dict(expected)
+    closed = spark.read.parquet(table).select(window_start(), "ticket_count")
+    limit = (watermark - timedelta(minutes=5)).strftime("%H:%M:%S.%f")
+    assert dict(rows(closed)) == {
+        start: n for start, n in expected.items() if f"{start}:00.000000" <= limit
+    }
+
+
 def test_complete_mode_drops_nothing(spark, late_files, tmp_path):
     seen = {}
 

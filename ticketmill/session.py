@@ -45,6 +45,8 @@ def pin_utc(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 
+    Results are read from it after the call, so it is left to that folder's clean-up.
+
     A local session without ``spark.checkpoint.dir`` gets a temporary folder of this
     machine. On a cluster such a folder would differ from node to node, so there the
     setting is required.
