@@ -48,7 +48,19 @@ def test_pin_utc(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
 
 
-def test_state_partitions_never_exceed_the_cores(spark):
+def test_state_partitions_of_a_cluster_are_those_of_the_session():
+    class Settable(Conf):
+        def set(self, key, value):
+            self.values[key] = value
+
+    cluster = Session("yarn")
+    cluster.conf = Settable({"spark.sql.shuffle.partitions": "400"})
+    cluster.sparkContext.defaultParallelism = 2  # no executor has joined yet
+    with state_partitions(cluster):
+        assert cluster.conf.get("spark.sql.shuffle.partitions") == "400"
+
+
+def test_state_partitions_never_exceed_the_local_cores(spark):
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     spark.conf.set(key, "1000")

@@ -70,13 +70,17 @@ def state_partitions(spark: SparkSession, partitions: int | None = None) -> Iter
     """Fix the number of state partitions of the streaming queries started inside.
 
     A query copies the session settings when it starts and keeps its partition
-    count for the life of its checkpoint. The default never opens more state
-    stores than there are cores to run them.
+    count for the life of its checkpoint. The default is the session's number of
+    shuffle partitions; a local session opens no more state stores than it has
+    cores. (The cores of a cluster are no guide: few may have joined by then.)
     """
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    wanted = partitions or min(int(before), spark.sparkContext.defaultParallelism)
-    spark.conf.set(key, str(wanted))
+    context = spark.sparkContext
+    if partitions is None and context.master.startswith("local"):
+        partitions = min(int(before), context.defaultParallelism)
+    if partitions is not None:
+        spark.conf.set(key, str(partitions))
     try:
         yield
     finally:
