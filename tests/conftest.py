@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 from datetime import datetime, timezone
 
 import pytest
@@ -21,6 +22,7 @@ def spark() -> SparkSession:
         conf={
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp"),
             "spark.ui.showConsoleProgress": "false",
         },
     )

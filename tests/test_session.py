@@ -1,7 +1,5 @@
 """Session settings and scratch space."""
 
-import pytest
-
 from ticketmill.session import SESSION_CONF, pin_utc, scratch_dir, shared_folder, state_partitions
 
 
@@ -28,13 +26,10 @@ def test_scratch_space_follows_the_session():
     assert first.startswith("hdfs:///shared/ticketmill/x-") and first != second
 
 
-def test_cluster_without_shared_folder_is_refused():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_dir(Session("yarn"), "x")
-
-
-def test_local_session_may_use_a_temporary_folder():
-    assert "ticketmill-x-" in scratch_dir(Session("local[2]"), "x")
+def test_scratch_space_without_a_checkpoint_folder_is_below_the_warehouse():
+    plain = Session("yarn", spark_sql_warehouse_dir="hdfs:///warehouse/")
+    assert shared_folder(plain) == "hdfs:///warehouse/_scratch"
+    assert scratch_dir(plain, "x").startswith("hdfs:///warehouse/_scratch/ticketmill/x-")
 
 
 def test_settings_are_applied(spark):
@@ -48,27 +43,11 @@ def test_pin_utc(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
 
 
-def test_state_partitions_of_a_cluster_are_those_of_the_session():
-    class Settable(Conf):
-        def set(self, key, value):
-            self.values[key] = value
-
-    cluster = Session("yarn")
-    cluster.conf = Settable({"spark.sql.shuffle.partitions": "400"})
-    cluster.sparkContext.defaultParallelism = 2  # no executor has joined yet
-    with state_partitions(cluster):
-        assert cluster.conf.get("spark.sql.shuffle.partitions") == "400"
-
-
-def test_state_partitions_never_exceed_the_local_cores(spark):
+def test_state_partitions_are_those_of_the_session_unless_given(spark):
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    spark.conf.set(key, "1000")
-    try:
-        with state_partitions(spark):
-            assert int(spark.conf.get(key)) == spark.sparkContext.defaultParallelism
-        with state_partitions(spark, 7):
-            assert spark.conf.get(key) == "7"
-        assert spark.conf.get(key) == "1000"
-    finally:
-        spark.conf.set(key, before)
+    with state_partitions(spark):
+        assert spark.conf.get(key) == before
+    with state_partitions(spark, 7):
+        assert spark.conf.get(key) == "7"
+    assert spark.conf.get(key) == before

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -43,26 +42,19 @@ def pin_utc(spark: SparkSession) -> None:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder under the cluster's shared checkpoint folder.
+    """A new folder below the session's shared folder.
 
     Results are read from it after the call, so it is left to that folder's clean-up.
-
-    A local session without ``spark.checkpoint.dir`` gets a temporary folder of this
-    machine. On a cluster such a folder would differ from node to node, so there the
-    setting is required.
     """
-    shared = shared_folder(spark)
-    if shared:
-        return f"{shared}/ticketmill/{label}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every node can reach")
-    return tempfile.mkdtemp(prefix=f"ticketmill-{label}-")
+    return f"{shared_folder(spark)}/ticketmill/{label}-{uuid.uuid4().hex}"
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The shared folder the session names, without a trailing slash."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all nodes share: ``spark.checkpoint.dir``, else one below the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder.rstrip("/") if folder else None
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return folder.rstrip("/")
 
 
 @contextmanager
@@ -71,16 +63,14 @@ def state_partitions(spark: SparkSession, partitions: int | None = None) -> Iter
 
     A query copies the session settings when it starts and keeps its partition
     count for the life of its checkpoint. The default is the session's number of
-    shuffle partitions; a local session opens no more state stores than it has
-    cores. (The cores of a cluster are no guide: few may have joined by then.)
+    shuffle partitions.
     """
+    if partitions is None:
+        yield
+        return
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    context = spark.sparkContext
-    if partitions is None and context.master.startswith("local"):
-        partitions = min(int(before), context.defaultParallelism)
-    if partitions is not None:
-        spark.conf.set(key, str(partitions))
+    spark.conf.set(key, str(partitions))
     try:
         yield
     finally:
