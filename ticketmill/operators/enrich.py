@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from ticketmill.functions import team_for
 from ticketmill.schema import DEFAULT_TEAM, TEAM_BY_REQUEST_TYPE
 
-# Largest mapping table, in bytes of text, that is sent to every executor.
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-
 
 def enrich_tickets(
     tickets: DataFrame,
@@ -39,22 +36,15 @@ def team_table(
 
 
 def enrich_tickets_from_table(
-    tickets: DataFrame,
-    teams: DataFrame,
-    default: str = DEFAULT_TEAM,
-    broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    tickets: DataFrame, teams: DataFrame, default: str = DEFAULT_TEAM
 ) -> DataFrame:
     """The same enrichment with the mapping as a table (request_type, assigned_team).
 
-    The mapping is measured first and broadcast while its text is at most
-    ``broadcast_bytes``. A larger one is shuffled, where the adaptive skew join
-    splits a hot request type. Repeated mappings of a type count once (the smallest
-    team name wins), so the join never multiplies tickets.
+    The planner chooses the join from the mapping's real size; if both sides are shuffled,
+    the adaptive skew join splits a hot request type. Repeated mappings of a type count
+    once (the smallest team name wins), so the join never multiplies tickets.
     """
     mapping = teams.groupBy("request_type").agg(F.min("assigned_team").alias("_team"))
-    size = mapping.agg(F.sum(F.octet_length("request_type") + F.octet_length("_team"))).first()[0]
-    if (size or 0) <= broadcast_bytes:
-        mapping = F.broadcast(mapping)
     return tickets.join(mapping, "request_type", "left").select(
         *tickets.columns,
         F.coalesce("_team", F.lit(default)).alias("assigned_team"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketmill.functions import event_time
-from ticketmill.schema import TICKET_SCHEMA
+from ticketmill.schema import TICKET_FIELDS, TICKET_SCHEMA
 
 
 def decode_records(records: DataFrame, *keep: str, parse_once: bool = False) -> DataFrame:
@@ -17,9 +17,10 @@ def decode_records(records: DataFrame, *keep: str, parse_once: bool = False) ->
 
     Spark prunes the JSON schema to the fields a query uses, and copies the parse
     into every filter on them. With ``parse_once`` the struct passes through a
-    one-element explode, which no filter is pushed below: each payload is then
-    parsed exactly once, always in full. That is the cheaper way as soon as a
-    filter (or a time window, which filters null times) reads a parsed field.
+    one-element explode, which no filter is pushed below, so each payload is parsed
+    once. That is the cheaper way if a filter (or a time window, which filters null
+    times) reads a parsed field, and only then: without such a filter the explode
+    costs and gains nothing.
     """
     texts = records.selectExpr(
         "CAST(value AS STRING) AS payload", "timestamp AS kafka_timestamp", *keep
@@ -30,15 +31,9 @@ def decode_records(records: DataFrame, *keep: str, parse_once: bool = False) ->
 
 def ticket_columns() -> list[Column]:
     """Flat, typed columns of a decoded record, in table order."""
-    return [
-        F.col("ticket.ticket_id"),
-        F.col("ticket.client_id"),
-        event_time(F.col("ticket.created_at")).alias("created_at"),
-        F.col("ticket.request"),
-        F.col("ticket.request_type"),
-        F.col("ticket.priority"),
-        F.col("kafka_timestamp"),
-    ]
+    fields = {name: F.col(f"ticket.{name}") for name in TICKET_FIELDS}
+    fields["created_at"] = event_time(fields["created_at"]).alias("created_at")
+    return [*fields.values(), F.col("kafka_timestamp")]
 
 
 def parse_tickets(records: DataFrame, parse_once: bool = False) -> DataFrame:

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from ticketmill.functions import ticket_json
 
-# Up to this many hot clients are named in a literal list.
-MAX_LISTED_CLIENTS = 10_000
-
 
 def keyed_records(tickets: DataFrame) -> DataFrame:
     """``key`` (client id) and ``value`` (UTF-8 JSON object) of each ticket, both binary.
@@ -26,61 +23,21 @@ def keyed_records(tickets: DataFrame) -> DataFrame:
 
 
 def partition_by_client(
-    tickets: DataFrame,
-    partitions: int | None = None,
-    split_above: int = 5_000_000,
-    tell_apart: Sequence[str] = (),
-    max_listed: int = MAX_LISTED_CLIENTS,
+    tickets: DataFrame, partitions: int | None = None, tell_apart: Sequence[str] = ()
 ) -> DataFrame:
-    """Put each client's tickets in one partition, in order of creation time.
+    """Lay tickets out by client and, within a client, in order of creation time.
 
-    One counting pass over ``client_id`` comes first. It sizes the exchange, so that
-    a partition holds about ``split_above`` tickets at most, unless ``partitions`` is
-    given. And it finds clients with more than ``split_above`` tickets (the null
-    client included), which do not fit one task: these are cut by (created_at,
-    ticket_id) into consecutive partitions, so that reading the partitions in order
-    still gives their tickets in order. All other clients stay whole.
+    The tickets are dealt out by ranges of (client, time, ticket), sampled once, and sorted
+    in each partition. So a client's tickets lie in consecutive partitions, one after
+    another in order; a client with many tickets has several, whatever the size of the
+    table. The planner chooses the number of partitions unless it is given.
 
     ``tell_apart`` names columns that differ between copies of one ticket, such as
     the record offset. With them even a single ticket that was sent very many times
     is spread over several partitions.
+
+    Range partitioning samples its input, so this works on tables, not on streams.
     """
-    counts = tickets.groupBy("client_id").agg(F.count("*").alias("n"))
-    total, hot_clients = counts.agg(F.sum("n"), F.count_if(F.col("n") > split_above)).first()
-    sizes = _partition_count(tickets, partitions, total or 0, split_above)
     order = ("client_id", "created_at", "ticket_id", *tell_apart)
-    if not hot_clients:
-        return tickets.repartition(*sizes, "client_id").sortWithinPartitions(*order)
-
-    hot = counts.filter(F.col("n") > split_above).select("client_id")
-    if hot_clients <= max_listed:
-        listed = [row.client_id for row in hot.collect()]
-        names = [name for name in listed if name is not None]
-        is_hot = F.coalesce(F.col("client_id").isin(names), F.lit(None in listed))
-        marked = tickets.withColumn("_hot", is_hot)
-    else:
-        # More hot clients than a literal list should hold: let Spark choose the join.
-        flags = hot.select(F.col("client_id").alias("_client"), F.lit(True).alias("_flag"))
-        marked = tickets.join(
-            flags, F.col("client_id").eqNullSafe(F.col("_client")), "left"
-        ).select(*tickets.columns, F.coalesce("_flag", F.lit(False)).alias("_hot"))
-
-    # Equal keys share a partition: cold clients have one key, hot ones many.
-    cut = [F.when(F.col("_hot"), F.col(column)) for column in order[1:]]
-    return (
-        marked.repartitionByRange(*sizes, "client_id", *cut)
-        .drop("_hot")
-        .sortWithinPartitions(*order)
-    )
-
-
-def _partition_count(
-    tickets: DataFrame, partitions: int | None, total: int, split_above: int
-) -> list[int]:
-    """Arguments for the exchange: nothing leaves the number to the adaptive planner."""
-    if partitions is not None:
-        return [partitions]
-    # Half full on average, because hashing does not fill partitions evenly.
-    needed = -(-2 * total // split_above)
-    default = int(tickets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return [needed] if needed > default else []
+    sizes = [] if partitions is None else [partitions]
+    return tickets.repartitionByRange(*sizes, *order).sortWithinPartitions(*order)
