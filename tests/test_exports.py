@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 import ticketmill.sinks.exports as exports
 from ticketmill import operators as ops
-from ticketmill.sinks import EXPORTS, BatchExporter, read_export, read_totals
+from ticketmill.sinks import EXPORTS, BatchExporter, LostCheckpointError, read_export, read_totals
 
-# The 60 tickets of one recorded micro-batch, as counts per type and per priority.
+# One recorded micro-batch of 60 tickets, as counts per type and per priority.
 GOLDEN_TYPES = [
     ("facturation", "Service Comptabilite", 18),
     ("demande_evolution", "Equipe Produit", 14),
@@ -117,22 +117,45 @@ def batches(spark):
 
 
 @pytest.mark.parametrize("mode", ["last_batch", "cumulative"])
-def test_modes_over_many_batches(spark, batches, tmp_path, mode):
-    exporter = BatchExporter(str(tmp_path), mode=mode, keep=3)
+@pytest.mark.parametrize("retention", [0, 3600])
+def test_modes_over_many_batches(spark, batches, tmp_path, mode, retention):
+    exporter = BatchExporter(str(tmp_path), mode=mode, retention_seconds=retention)
     for number, batch in enumerate(batches):
         exporter(batch, number * 2)  # batch ids may have gaps
         covered = batches[: number + 1] if mode == "cumulative" else [batch]
         assert snapshot(spark, str(tmp_path)) == expected_exports(covered)
-    assert sorted(os.listdir(tmp_path / "agg_by_type")) == ["slot=0", "slot=1", "slot=2"]
+    kept = 7 if retention else 1
+    assert len(os.listdir(tmp_path / "agg_by_type")) == kept
+    assert len(list((tmp_path / "_published").glob("sequence=*"))) == kept
     clients = Counter(r.client_id for batch in covered for r in batch.collect())
     assert dict(rows(read_totals(spark, str(tmp_path), "by_client"))) == dict(clients)
 
 
-def test_number_of_slots_may_change(spark, batches, tmp_path):
-    for number, batch in enumerate(batches):
-        keep = (4, 5, 2, 3)[number % 4]
-        BatchExporter(str(tmp_path), mode="cumulative", keep=keep)(batch, number)
-    assert snapshot(spark, str(tmp_path)) == expected_exports(batches)
+@pytest.mark.parametrize("mode", ["last_batch", "cumulative"])
+def test_readers_keep_what_they_opened(spark, batches, tmp_path, mode):
+    exporter = BatchExporter(str(tmp_path), mode=mode)
+    exporter(batches[0], 0)
+    opened = {name: read_export(spark, str(tmp_path), name) for name in EXPORTS}
+    totals = read_totals(spark, str(tmp_path), "by_client")
+    for number in range(1, 11):
+        exporter(batches[number % 7], number)
+    assert {name: rows(frame) for name, frame in opened.items()} == expected_exports(batches[:1])
+    assert dict(rows(totals)) == dict(Counter(r.client_id for r in batches[0].collect()))
+
+
+def test_a_batch_of_one_client_rewrites_one_part(spark, tmp_path):
+    clients = [f"CLI-{i}" for i in range(200)]
+    exporter = BatchExporter(str(tmp_path), mode="cumulative")
+    everyone = batch_of(spark, ["autre"] * 200, ["low"] * 200, clients)
+    exporter(everyone, 0)
+    one = batch_of(spark, ["autre"] * 3, ["low"] * 3, ["CLI-7"] * 3)
+    exporter(one, 1)
+    assert len(list((tmp_path / "_rollup" / "sequence=0").glob("bucket=*"))) > 20
+    assert len(list((tmp_path / "_rollup" / "sequence=1").glob("bucket=*"))) == 2
+    assert snapshot(spark, str(tmp_path)) == expected_exports([everyone, one])
+    assert dict(rows(read_totals(spark, str(tmp_path), "by_client"))) == {
+        client: 4 if client == "CLI-7" else 1 for client in clients
+    }
 
 
 @pytest.mark.parametrize("mode", ["last_batch", "cumulative"])
@@ -143,10 +166,10 @@ def test_crash_between_targets(spark, batches, tmp_path, mode, monkeypatch):
     exporter(batches[0], 0)
     before = snapshot(spark, root)
 
-    def fail(self, rollup, export, groups):
+    def fail(self, rollup, export, *more):
         if export.format == "json":
             raise OSError("lost")
-        return original(self, rollup, export, groups)
+        return original(self, rollup, export, *more)
 
     original = BatchExporter._result
     monkeypatch.setattr(BatchExporter, "_result", fail)
@@ -173,7 +196,7 @@ def test_empty_batch_publishes_nothing(spark, batches, tmp_path):
 def test_dynamic_overwrite_setting_leaves_no_old_rows(spark, batches, tmp_path):
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        exporter = BatchExporter(str(tmp_path), keep=2)
+        exporter = BatchExporter(str(tmp_path), retention_seconds=0)
         for number in (0, 1, 2):
             exporter(batches[number], number)
         exporter(batches[0].limit(0), 3)
@@ -182,17 +205,18 @@ def test_dynamic_overwrite_setting_leaves_no_old_rows(spark, batches, tmp_path):
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
 
 
-def test_reset_checkpoint_is_refused(batches, tmp_path):
-    exporter = BatchExporter(str(tmp_path), mode="cumulative")
+@pytest.mark.parametrize("mode", ["last_batch", "cumulative"])
+def test_reset_checkpoint_is_refused(batches, tmp_path, mode):
+    exporter = BatchExporter(str(tmp_path), mode=mode)
     exporter(batches[0], 5)
-    with pytest.raises(ValueError, match="checkpoint was reset"):
+    with pytest.raises(LostCheckpointError, match="checkpoint was reset"):
         exporter(batches[1], 0)
 
 
-def test_large_result_is_sorted_files(spark, tmp_path):
+def test_large_result_is_sorted_across_its_files(spark, tmp_path):
     kinds = [f"kind-{i}" for i in range(500) for _ in range(1 + i % 3)]
     batch = batch_of(spark, kinds, ["low"] * len(kinds))
-    BatchExporter(str(tmp_path), in_place=True, single_file_rows=100)(batch, 0)
+    BatchExporter(str(tmp_path), in_place=True)(batch, 0)
     folder = tmp_path / "json_by_type"
     lines = [
         json.loads(line)
@@ -205,7 +229,7 @@ def test_large_result_is_sorted_files(spark, tmp_path):
 
 
 def test_settings_are_checked(tmp_path):
-    for wrong in ({"mode": "other"}, {"keep": 1}, {"mode": "cumulative", "in_place": True}):
+    for wrong in ({"mode": "other"}, {"retention_seconds": -1}, {"mode": "cumulative", "in_place": True}):
         with pytest.raises(ValueError):
             BatchExporter(str(tmp_path), **wrong)
 

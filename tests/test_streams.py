@@ -15,10 +15,12 @@ from ticketmill.plans.job import enriched_tickets
 from ticketmill.sinks import (
     BatchExporter,
     change_writer,
+    compact_changes,
     latest_counts,
     read_changes,
     read_export,
 )
+from ticketmill.sinks.changes import FILES_PER_DAY
 from ticketmill.sources import event_records, read_events, read_records, stream_records
 from ticketmill.streaming import (
     start_enriched_table,
@@ -286,12 +288,13 @@ def test_change_log_by_day(spark, tmp_path):
 
 
 def test_change_log_adds_few_files(spark, topic, tmp_path):
-    """At most a file per quarter of a day, and one for the windows of an hour."""
+    """A bounded number of files per day and micro-batch, also for a backlog."""
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
     stream = enriched_tickets(stream_records(spark, topic))
     wait_for(start_window_changes(stream, TYPE_KEYS, out, checkpoint, "days", ONCE))
-    for folder in (tmp_path / "out").glob("day=*/batch_id=*"):
-        assert len(list(folder.glob("part-*.parquet"))) <= 4
+    folders = (tmp_path / "out").glob("day=*/batch_id=*")
+    files = [len(list(folder.glob("part-*.parquet"))) for folder in folders]
+    assert 1 < max(files) <= FILES_PER_DAY  # no task gets a whole day
 
     write = change_writer(str(tmp_path / "live"))
     starts = [utc(f"2026-01-01T10:{minute:02d}:00") for minute in range(0, 60, 5)]
@@ -300,7 +303,65 @@ def test_change_log_adds_few_files(spark, topic, tmp_path):
         "window STRUCT<start: TIMESTAMP, end: TIMESTAMP>, priority STRING, ticket_count BIGINT",
     )
     write(changed.repartition(4), 0)
-    assert len(list((tmp_path / "live").glob("day=*/batch_id=0/part-*.parquet"))) == 1
+    assert len(list((tmp_path / "live").glob("day=*/batch_id=0/part-*.parquet"))) <= FILES_PER_DAY
+
+
+def test_compaction_of_closed_days(spark, tmp_path):
+    """Counts stay the same between and after the runs; folders of old days stay few."""
+    out = str(tmp_path / "log")
+    write = change_writer(out)
+
+    def changed(day, count):
+        windows = [utc(f"2026-01-{day:02d}T{hour:02d}:00:00") for hour in range(24)]
+        return spark.createDataFrame(
+            [((start, start), kind, count) for start in windows for kind in ("low", "high")],
+            "window STRUCT<start: TIMESTAMP, end: TIMESTAMP>, priority STRING, ticket_count BIGINT",
+        )
+
+    def log_folders():
+        return sorted(str(path.relative_to(out)) for path in (tmp_path / "log").glob("day=*/batch_id=*"))
+
+    def counts():
+        return set(rows(latest_counts(spark, out, "priority")))
+
+    for batch in range(12):
+        write(changed(1 + batch // 6, batch), batch)
+    expected = counts()
+    open_reader = latest_counts(spark, out, "priority")
+    limit = date(2026, 1, 2)
+    compact_changes(spark, out, "priority", before=limit)
+    assert counts() == expected and len(log_folders()) == 12
+    assert set(rows(open_reader)) == expected
+    compact_changes(spark, out, "priority", before=limit)
+    assert counts() == expected
+    assert log_folders() == [f"day=2026-01-02/batch_id={batch}" for batch in sorted(range(6, 12), key=str)]
+
+    write(changed(1, 50), 12)  # a late change of a compacted day
+    late = counts()
+    assert late != expected
+    for _ in range(3):
+        compact_changes(spark, out, "priority", before=limit)
+        assert counts() == late
+    assert not [name for name in log_folders() if "01-01" in name]
+    assert len(list((tmp_path / "log" / "_compacted" / "day=2026-01-01").glob("upto=*"))) == 1
+    days = {"first_day": date(2026, 1, 1), "last_day": date(2026, 1, 1)}
+    assert latest_counts(spark, out, "priority", **days).count() == 48
+
+
+def test_compaction_that_died_is_run_again(spark, tmp_path):
+    out = str(tmp_path / "log")
+    start = utc("2026-01-01T10:00:00")
+    schema = "window STRUCT<start: TIMESTAMP, end: TIMESTAMP>, priority STRING, ticket_count BIGINT"
+    for batch in range(3):
+        change_writer(out)(spark.createDataFrame([((start, start), "low", batch)], schema), batch)
+    limit = date(2026, 1, 2)
+    compact_changes(spark, out, "priority", before=limit)
+    os.remove(tmp_path / "log" / "_compacted" / "day=2026-01-01" / "upto=2" / "_SUCCESS")
+    compact_changes(spark, out, "priority", before=limit)  # nothing is removed on an unfinished folder
+    assert len(list((tmp_path / "log").glob("day=*/batch_id=*"))) == 3
+    compact_changes(spark, out, "priority", before=limit)
+    assert not list((tmp_path / "log").glob("day=*/batch_id=*"))
+    assert rows(latest_counts(spark, out, "priority").select("ticket_count")) == [(2,)]
 
 
 @pytest.mark.parametrize("mode", ["last_batch", "cumulative"])
@@ -316,6 +377,8 @@ def test_exports_after_a_lost_commit(spark, topic, tmp_path, mode):
             crashes.pop(0)
             raise OSError("process lost")
 
+    export_then_crash.root = root
+
     def run():
         stream = in_time_order(spark, topic)
         wait_for(start_exports(stream, export_then_crash, checkpoint, ONCE))

@@ -15,11 +15,17 @@ from ticketmill.operators.counts import (
 from ticketmill.operators.enrich import enrich_tickets, enrich_tickets_from_table, team_table
 from ticketmill.operators.parse import decode_records, parse_tickets
 from ticketmill.operators.publish import keyed_records, partition_by_client
-from ticketmill.operators.validate import accepted_tickets, check_records, rejected_records
+from ticketmill.operators.validate import (
+    accepted_tickets,
+    check_records,
+    checked_tickets,
+    rejected_records,
+)
 
 __all__ = [
     "accepted_tickets",
     "check_records",
+    "checked_tickets",
     "count_by",
     "count_by_client",
     "count_by_hour",

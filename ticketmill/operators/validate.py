@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ticketmill.functions import rejection_reason
 from ticketmill.operators.parse import decode_records, ticket_columns
+from ticketmill.schema import ACCEPTED, REJECT_COLUMNS, REJECTED
 
 
 def check_records(records: DataFrame, *keep: str) -> DataFrame:
@@ -21,10 +22,22 @@ def accepted_tickets(records: DataFrame) -> DataFrame:
     return check_records(records).filter(F.col("reject_reason").isNull()).select(*ticket_columns())
 
 
+def checked_tickets(records: DataFrame) -> DataFrame:
+    """Accepted and refused records together, from one pass: tickets, reasons and a ``verdict``.
+
+    Refused records keep their payload and key; accepted ones have it in their columns.
+    """
+    refused = F.col("reject_reason").isNotNull()
+    places = ("topic", "partition", "offset", "key", "value")
+    return check_records(records, *places).select(
+        *ticket_columns(),
+        *[F.when(refused, F.col(name)).alias(name) for name in places],
+        "reject_reason",
+        F.when(refused, REJECTED).otherwise(ACCEPTED).alias("verdict"),
+    )
+
+
 def rejected_records(records: DataFrame) -> DataFrame:
     """Refused records with their place in the topic, reason and untouched payload."""
-    return (
-        check_records(records, "topic", "partition", "offset", "key", "value")
-        .filter(F.col("reject_reason").isNotNull())
-        .select("topic", "partition", "offset", "kafka_timestamp", "key", "reject_reason", "value")
-    )
+    checked = checked_tickets(records)
+    return checked.filter(F.col("verdict") == REJECTED).select(*REJECT_COLUMNS)

@@ -20,13 +20,22 @@ TEAM_BY_REQUEST_TYPE = {
 }
 DEFAULT_TEAM = "Support General"
 
-PRIORITIES = ("low", "medium", "high", "critical")
-
 WINDOW_LENGTH = "5 minutes"
 WATERMARK_DELAY = "1 minute"
 INGEST_TRIGGER = "30 seconds"
 EXPORT_TRIGGER = "60 seconds"
 TOP_CLIENTS = 10
+
+# Names of the targets, which are the names of the streaming queries as well.
+ENRICHED_TARGET = "enriched_tickets"
+CHECKED_TARGET = "checked_records"
+BY_TYPE_TARGET = "tickets_by_type"
+BY_PRIORITY_TARGET = "tickets_by_priority"
+EXPORTS_QUERY = "batch_aggregations"
+
+# Defaults of the job's environment variables.
+DEFAULT_SERVERS = "localhost:9092"
+DEFAULT_OUTPUT = "output"
 # ----------------------------------------------------------------------------
 
 # JSON fields are declared nullable because from_json never enforces otherwise;
@@ -60,6 +69,19 @@ ENRICHED_SCHEMA = T.StructType(
     ]
 )
 
+# Strict mode keeps accepted tickets and refused records in one table, apart by folder.
+ACCEPTED, REJECTED = "accepted", "rejected"
+REJECT_COLUMNS = ("topic", "partition", "offset", "kafka_timestamp", "key", "reject_reason", "value")
+CHECKED_SCHEMA = T.StructType(
+    [
+        *ENRICHED_SCHEMA,
+        *[RECORD_SCHEMA[name] for name in ("topic", "partition", "offset", "key", "value")],
+        T.StructField("reject_reason", T.StringType()),
+        T.StructField("verdict", T.StringType()),
+        T.StructField("ingest_day", T.DateType()),
+    ]
+)
+
 # Input table the tickets of the registered queries are derived from.
 EVENTS_SCHEMA = T.StructType(
     [

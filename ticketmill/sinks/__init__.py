@@ -1,10 +1,13 @@
-from ticketmill.sinks.changes import change_writer, latest_counts, read_changes
+from ticketmill.sinks.changes import change_writer, compact_changes, latest_counts, read_changes
 from ticketmill.sinks.exports import EXPORTS, BatchExporter, read_export, read_totals
+from ticketmill.sinks.owner import LostCheckpointError
 
 __all__ = [
     "EXPORTS",
     "BatchExporter",
+    "LostCheckpointError",
     "change_writer",
+    "compact_changes",
     "latest_counts",
     "read_changes",
     "read_export",

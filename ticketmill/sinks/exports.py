@@ -1,16 +1,18 @@
 """The per-micro-batch exports: four Parquet targets and two JSON targets.
 
 One pass over the batch writes a small rollup table; all targets are written from
-it. Each micro-batch goes to the next of a ring of slot folders, and one row in
-``_published`` makes the whole slot visible once every target is complete. So a
-crash never shows targets of different batches, a retried batch rewrites the same
-slot, and the disk use does not grow with the number of batches.
+it. Each published micro-batch has folders of its own, numbered in sequence, and one
+row in ``_published`` makes them visible once every target is complete. So a crash
+never shows targets of different batches, and a reader keeps what it opened: folders
+are removed by age only, never written again once published.
 """
 
 from __future__ import annotations
 
+import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 from typing import Literal
 
 from pyspark import inheritable_thread_target
@@ -21,22 +23,31 @@ from pyspark.sql import types as T
 
 from ticketmill.operators.counts import COUNT, ROLLUP_COLUMNS, ROLLUP_KEYS, rollup_counts
 from ticketmill.schema import TOP_CLIENTS
+from ticketmill.sinks.folders import delete_folder, list_folders
+from ticketmill.sinks.owner import LostCheckpointError, record_owner, running_query_id
 
-# A sorted result up to this size is one file; a larger one is range-sorted files.
-SINGLE_FILE_ROWS = 1_000_000
+# Running totals are kept in so many parts by client, and one part for all other counts.
+CLIENT_BUCKETS = 32
+OTHER_BUCKET = 0
+# Published folders stay readable for at least so long after the next one.
+RETENTION_SECONDS = 3600
 
 ROLLUP_SCHEMA = T.StructType(
     [
+        T.StructField("target", T.StringType()),
         T.StructField("request_type", T.StringType()),
         T.StructField("assigned_team", T.StringType()),
         T.StructField("priority", T.StringType()),
         T.StructField("hour", T.IntegerType()),
         T.StructField("client_id", T.StringType()),
         T.StructField(COUNT, T.LongType()),
-        T.StructField("target", T.StringType()),
+        T.StructField("bucket", T.IntegerType()),
     ]
 )
-PUBLISHED_SCHEMA = "sequence BIGINT, batch_id BIGINT, ticket_count BIGINT, slot INT"
+PUBLISHED_SCHEMA = (
+    "batch_id BIGINT, query_id STRING, ticket_count BIGINT, published_at DOUBLE, "
+    "buckets MAP<INT, BIGINT>, sequence BIGINT"
+)
 
 
 @dataclass(frozen=True)
@@ -74,13 +85,17 @@ EXPORTS = {
 
 @dataclass(frozen=True)
 class Published:
+    """A visible export: its number, where it came from, and the sequence that holds each part of its rollup."""
+
     sequence: int
     batch_id: int
-    slot: int
+    query_id: str | None
+    published_at: float
+    buckets: dict[int, int]
 
 
-def _published(spark: SparkSession, root: str) -> Published | None:
-    """The newest complete slot. The table has at most one row per slot."""
+def _all_published(spark: SparkSession, root: str) -> list[Published]:
+    """What is visible, oldest first. The table has a row per export that isn't removed yet."""
     try:
         table = (
             spark.read.schema(PUBLISHED_SCHEMA)
@@ -89,84 +104,82 @@ def _published(spark: SparkSession, root: str) -> Published | None:
         )
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return None
+            return []
         raise
-    row = table.orderBy(F.desc("sequence")).first()
-    return Published(row.sequence, row.batch_id, row.slot) if row else None
+    found = [
+        Published(row.sequence, row.batch_id, row.query_id, row.published_at, dict(row.buckets))
+        for row in table.collect()
+    ]
+    return sorted(found, key=lambda one: one.sequence)
+
+
+def _bucket() -> Column:
+    """Part of the running totals that a rollup row belongs to."""
+    part = F.pmod(F.xxhash64("client_id"), F.lit(CLIENT_BUCKETS)).cast("int") + 1
+    return F.when(F.col("target") == "by_client", part).otherwise(F.lit(OTHER_BUCKET)).alias("bucket")
 
 
 class BatchExporter:
     """A foreachBatch function that exports the counts of enriched tickets.
 
     mode ``last_batch``: each export covers the latest micro-batch only.
-    mode ``cumulative``: each export covers every micro-batch so far. The previous
-    rollup is added to the batch's own, so the cost follows the number of distinct
-    keys and never the history.
+    mode ``cumulative``: each export covers every micro-batch so far. Totals are kept in
+    parts by client. A batch reads and writes the parts that hold its own clients; the
+    others, and their part of the top list, are taken over as they are.
 
     ``in_place`` (last_batch only) writes ``<root>/<target>`` directly, for readers
     that expect plain folders; targets are then replaced one by one.
+
+    The exports belong to the query that published first; another one is refused, since
+    its batches are numbered anew.
     """
 
     def __init__(
         self,
         root: str,
         mode: Literal["last_batch", "cumulative"] = "last_batch",
-        keep: int = 4,
+        retention_seconds: float = RETENTION_SECONDS,
         in_place: bool = False,
-        single_file_rows: int = SINGLE_FILE_ROWS,
     ) -> None:
         if mode not in ("last_batch", "cumulative"):
             raise ValueError(f"unknown export mode: {mode}")
-        if keep < 2:
-            raise ValueError("keep at least 2 slots: one to read while the next is written")
+        if retention_seconds < 0:
+            raise ValueError("retention_seconds must not be negative")
         if in_place and mode == "cumulative":
-            raise ValueError("cumulative exports need slots; in_place has none")
+            raise ValueError("cumulative exports need folders of their own; in_place has none")
         self.root = root.rstrip("/")
         self.mode = mode
-        self.keep = keep
+        self.retention_seconds = retention_seconds
         self.in_place = in_place
-        self.single_file_rows = single_file_rows
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        last = _published(spark, self.root)
-        if self.mode == "cumulative" and last is not None:
-            if batch_id == last.batch_id:
-                return  # already published; only the stream's own commit was lost
+        query_id = running_query_id(spark)
+        if query_id is not None:
+            record_owner(spark, self.root, query_id)
+        visible = _all_published(spark, self.root)
+        last = visible[-1] if visible else None
+        if last is not None and query_id == last.query_id:
             if batch_id < last.batch_id:
-                raise ValueError(
+                raise LostCheckpointError(
                     f"batch {batch_id} after published batch {last.batch_id}: the checkpoint "
-                    f"was reset but {self.root} still holds its totals"
+                    f"was reset but {self.root} still holds its results"
                 )
-        # The slot after the newest one, never that one itself, also if keep was changed.
-        sequence, slot = (last.sequence + 1, (last.slot + 1) % self.keep) if last else (0, 0)
+            if self.mode == "cumulative" and batch_id == last.batch_id:
+                return  # already published; only the stream's own commit was lost
+        sequence = last.sequence + 1 if last else 0
 
-        counts = rollup_counts(batch)
-        if self.mode == "cumulative" and last is not None:
-            counts = _add(_read_rollup(spark, self.root, last.slot), counts)
-        (
-            counts.write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("target")
-            .parquet(_rollup_path(self.root, slot))
-        )
-        rollup = _read_rollup(spark, self.root, slot)
-        sizes = {
-            row.target: (row.groups, row.tickets)
-            for row in rollup.groupBy("target")
-            .agg(F.count("*").alias("groups"), F.sum(COUNT).alias("tickets"))
-            .collect()
-        }
-        if not sizes:
+        buckets = self._write_rollup(rollup_counts(batch), sequence, last)
+        if not buckets:
             return  # an empty batch publishes nothing
+        rollup = _read_rollup(spark, self.root, buckets, sorted(b for b, s in buckets.items() if s == sequence))
 
         def write(name: str) -> None:
-            export = EXPORTS[name]
-            result = self._result(rollup, export, groups=sizes[export.source][0])
-            path = f"{self.root}/{name}" if self.in_place else _export_path(self.root, name, slot)
-            result.write.mode("overwrite").format(export.format).save(path)
+            path = f"{self.root}/{name}" if self.in_place else _export_path(self.root, name, sequence)
+            result = self._result(rollup, EXPORTS[name], name, buckets, last)
+            result.write.mode("overwrite").format(EXPORTS[name].format).save(path)
 
-        # The results are tiny, so their jobs are all start-up time: run them together.
+        # The results are small, so their jobs are all start-up time: run them together.
         # Each thread gets its own copy of the job's properties, so that stopping the
         # stream also cancels these jobs.
         with ThreadPoolExecutor(len(EXPORTS)) as pool:
@@ -174,65 +187,146 @@ class BatchExporter:
             for job in jobs:
                 job.result()
 
-        tickets = sizes["by_priority"][1]
+        tickets = rollup.filter(F.col("target") == "by_priority").agg(F.sum(COUNT)).first()[0]
+        parts = F.create_map(*[F.lit(value) for pair in sorted(buckets.items()) for value in pair])
         row = spark.range(0, 1, 1, 1).select(
-            F.lit(sequence).cast("bigint").alias("sequence"),
             F.lit(batch_id).cast("bigint").alias("batch_id"),
+            F.lit(query_id).cast("string").alias("query_id"),
             F.lit(tickets).cast("bigint").alias(COUNT),
+            F.lit(time.time()).alias("published_at"),
+            parts.cast("map<int,bigint>").alias("buckets"),
         )
-        row.write.mode("overwrite").parquet(f"{self.root}/_published/slot={slot}")
-
-    def _result(self, rollup: DataFrame, export: Export, groups: int) -> DataFrame:
+        row.write.mode("overwrite").parquet(f"{self.root}/_published/sequence={sequence}")
+        current = Published(sequence, batch_id, query_id, time.time(), buckets)
+        self._remove_old(spark, [*visible, current])
+
+    def _write_rollup(self, counts: DataFrame, sequence: int, last: Published | None) -> dict[int, int]:
+        """Write the rollup of a batch, or the totals it changes; which sequence holds each part from now on."""
+        spark = counts.sparkSession
+        if self.mode == "last_batch":
+            _write_parts(counts.withColumn("bucket", F.lit(OTHER_BUCKET)), self.root, sequence)
+            return _parts_of(spark, _rollup_path(self.root, sequence), sequence)
+        changes = f"{self.root}/_batch"
+        counts.withColumn("bucket", _bucket()).write.mode("overwrite").parquet(changes)
+        own = spark.read.schema(ROLLUP_SCHEMA).parquet(changes)
+        touched = sorted(row.bucket for row in own.select("bucket").distinct().collect())  # as many as there are parts
+        before = last.buckets if last else {}
+        known = [bucket for bucket in touched if bucket in before]
+        totals = own if not known else _add(_read_rollup(spark, self.root, before, known), own)
+        if touched:
+            _write_parts(totals.repartition("bucket"), self.root, sequence)
+        return {**before, **dict.fromkeys(touched, sequence)} if touched else {}
+
+    def _result(
+        self, rollup: DataFrame, export: Export, name: str, buckets: dict[int, int], last: Published | None
+    ) -> DataFrame:
+        """An export's rows in order, from the parts written for this batch."""
         rows = rollup.filter(F.col("target") == export.source).select(*export.keys, COUNT)
-        if export.top:
-            return rows.orderBy(*export.order).limit(export.top).coalesce(1)
-        if groups <= self.single_file_rows:
-            return rows.coalesce(1).sortWithinPartitions(*export.order)
-        return rows.orderBy(*export.order)
+        if not export.top:
+            # The planner sizes the partitions of the sort: a small result is one file.
+            return rows.orderBy(*export.order)
+        if self.mode == "cumulative" and last is not None:
+            # Counts only grow, so nobody enters the list but those on it and those that changed.
+            untouched = [bucket for bucket, sequence in buckets.items() if sequence <= last.sequence]
+            listed = read_sequence(rollup.sparkSession, self.root, name, last.sequence)
+            part = F.pmod(F.xxhash64("client_id"), F.lit(CLIENT_BUCKETS)).cast("int") + 1
+            rows = rows.unionByName(listed.filter(part.isin(untouched)))
+        return rows.orderBy(*export.order).limit(export.top).coalesce(1)
+
+    def _remove_old(self, spark: SparkSession, visible: list[Published]) -> None:
+        """Remove exports that were replaced longer than the retention ago."""
+        limit = time.time() - self.retention_seconds
+        # An export is replaced when the next one is published.
+        old = [one for one, following in zip(visible, visible[1:]) if following.published_at < limit]
+        if not old:
+            return
+        kept = {(s, b) for one in visible[len(old) :] for b, s in one.buckets.items()}
+        for one in old:
+            delete_folder(spark, f"{self.root}/_published/sequence={one.sequence}")
+            for name in EXPORTS:
+                delete_folder(spark, _export_path(self.root, name, one.sequence))
+        last_old = old[-1].sequence
+        for folder in list_folders(spark, f"{self.root}/_rollup"):
+            sequence = int(folder.removeprefix("sequence="))
+            if sequence <= last_old:
+                parts = _parts_of(spark, _rollup_path(self.root, sequence), sequence)
+                gone = [bucket for bucket in parts if (sequence, bucket) not in kept]
+                for bucket in gone:
+                    delete_folder(spark, f"{_rollup_path(self.root, sequence)}/bucket={bucket}")
+                if len(gone) == len(parts):
+                    delete_folder(spark, _rollup_path(self.root, sequence))
+
+
+def _write_parts(rollup: DataFrame, root: str, sequence: int) -> None:
+    (
+        rollup.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("bucket")
+        .parquet(_rollup_path(root, sequence))
+    )
+
+
+def _parts_of(spark: SparkSession, path: str, sequence: int) -> dict[int, int]:
+    names = [name for name in list_folders(spark, path) if name.startswith("bucket=")]
+    return {int(name.removeprefix("bucket=")): sequence for name in names}
 
 
 def _add(total: DataFrame, counts: DataFrame) -> DataFrame:
-    keys = ("target", *ROLLUP_COLUMNS)
+    keys = ("bucket", "target", *ROLLUP_COLUMNS)
     return (
-        total.unionByName(counts.select(*keys, COUNT))
+        total.select(*keys, COUNT)
+        .unionByName(counts.select(*keys, COUNT))
         .groupBy(*keys)
         .agg(F.sum(COUNT).alias(COUNT))
     )
 
 
-def _rollup_path(root: str, slot: int) -> str:
-    return f"{root}/_rollup/slot={slot}"
+def _rollup_path(root: str, sequence: int) -> str:
+    return f"{root}/_rollup/sequence={sequence}"
 
 
-def _export_path(root: str, name: str, slot: int) -> str:
-    return f"{root}/{name}/slot={slot}"
+def _export_path(root: str, name: str, sequence: int) -> str:
+    return f"{root}/{name}/sequence={sequence}"
 
 
-def _read_rollup(spark: SparkSession, root: str, slot: int) -> DataFrame:
-    return spark.read.schema(ROLLUP_SCHEMA).parquet(_rollup_path(root, slot))
+def _read_rollup(spark: SparkSession, root: str, buckets: dict[int, int], wanted: list[int]) -> DataFrame:
+    """The wanted parts of a rollup, each from the sequence that holds it."""
+    by_sequence: dict[int, list[str]] = {}
+    for bucket in wanted:
+        path = f"{_rollup_path(root, buckets[bucket])}/bucket={bucket}"
+        by_sequence.setdefault(buckets[bucket], []).append(path)
+    parts = [
+        spark.read.schema(ROLLUP_SCHEMA).option("basePath", _rollup_path(root, sequence)).parquet(*paths)
+        for sequence, paths in sorted(by_sequence.items())
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _latest_slot(spark: SparkSession, root: str) -> int:
-    last = _published(spark, root)
-    if last is None:
+def _latest(spark: SparkSession, root: str) -> Published:
+    visible = _all_published(spark, root)
+    if not visible:
         raise FileNotFoundError(f"nothing published under {root}")
-    return last.slot
+    return visible[-1]
 
 
 def read_totals(spark: SparkSession, root: str, source: str) -> DataFrame:
     """The newest published count per key of one rollup target, e.g. ``by_client``."""
+    buckets = _latest(spark, root).buckets
     return (
-        _read_rollup(spark, root, _latest_slot(spark, root))
+        _read_rollup(spark, root, buckets, sorted(buckets))
         .filter(F.col("target") == source)
         .select(*ROLLUP_KEYS[source], COUNT)
     )
 
 
-def read_export(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The newest published result of one export, with its exact columns."""
+def read_sequence(spark: SparkSession, root: str, name: str, sequence: int) -> DataFrame:
     export = EXPORTS[name]
-    return (
-        spark.read.schema(export.schema())
-        .format(export.format)
-        .load(_export_path(root, name, _latest_slot(spark, root)))
-    )
+    return spark.read.schema(export.schema()).format(export.format).load(_export_path(root, name, sequence))
+
+
+def read_export(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The newest published result of one export, with its exact columns.
+
+    It stays readable for the exporter's retention after it was replaced.
+    """
+    return read_sequence(spark, root, name, _latest(spark, root).sequence)

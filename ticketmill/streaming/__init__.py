@@ -1,16 +1,16 @@
 from ticketmill.streaming.queries import (
+    start_checked_table,
     start_enriched_table,
     start_exports,
-    start_rejects,
     start_window_changes,
     start_window_table,
     wait_for,
 )
 
 __all__ = [
+    "start_checked_table",
     "start_enriched_table",
     "start_exports",
-    "start_rejects",
     "start_window_changes",
     "start_window_table",
     "wait_for",

@@ -5,12 +5,20 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ticketmill.operators import window_counts
-from ticketmill.schema import EXPORT_TRIGGER, INGEST_TRIGGER
+from ticketmill.schema import (
+    CHECKED_TARGET,
+    ENRICHED_TARGET,
+    EXPORT_TRIGGER,
+    EXPORTS_QUERY,
+    INGEST_TRIGGER,
+)
 from ticketmill.session import state_partitions
 from ticketmill.sinks import BatchExporter, change_writer
+from ticketmill.sinks.owner import checkpoint_id, record_owner, refuse_other_owner
 
 Trigger = Mapping[str, object]
 EVERY_INGEST: Trigger = {"processingTime": INGEST_TRIGGER}
@@ -22,7 +30,12 @@ TYPE_KEYS = ("request_type", "assigned_team")
 PRIORITY_KEYS = ("priority",)
 
 
-def _writer(stream: DataFrame, name: str, checkpoint: str, trigger: Trigger) -> DataStreamWriter:
+def _writer(
+    stream: DataFrame, name: str, checkpoint: str, trigger: Trigger, target: str
+) -> DataStreamWriter:
+    """A named, checkpointed writer; refused if the target was filled from another checkpoint."""
+    spark = stream.sparkSession
+    refuse_other_owner(spark, target, checkpoint_id(spark, checkpoint))
     return (
         stream.writeStream.queryName(name)
         .option("checkpointLocation", checkpoint)
@@ -30,39 +43,50 @@ def _writer(stream: DataFrame, name: str, checkpoint: str, trigger: Trigger) ->
     )
 
 
+def _start_files(
+    writer: DataStreamWriter, stream: DataFrame, path: str, retention: str | None = None
+) -> StreamingQuery:
+    """Start an appending Parquet sink and note which query its target belongs to.
+
+    ``retention`` bounds the sink's commit log: files older than it leave the log, and
+    with it the table, for every reader.
+    """
+    if retention:
+        writer = writer.option("retention", retention)
+    query = writer.outputMode("append").format("parquet").start(path)
+    record_owner(stream.sparkSession, path, query.id)
+    return query
+
+
 def start_enriched_table(
     enriched: DataFrame,
     path: str,
     checkpoint: str,
     trigger: Trigger = EVERY_INGEST,
-    name: str = "enriched_tickets",
+    name: str = ENRICHED_TARGET,
+    retention: str | None = None,
 ) -> StreamingQuery:
-    """Append enriched tickets to Parquet; the sink's commit log makes it exactly-once.
+    """Append enriched tickets to Parquet by day of ingest; the commit log makes it exactly-once.
 
-    No shuffle: each input task writes its own file.
+    No shuffle: each input task writes its own files.
     """
-    return (
-        _writer(enriched, name, checkpoint, trigger)
-        .outputMode("append")
-        .format("parquet")
-        .start(path)
-    )
+    by_day = enriched.withColumn("ingest_day", F.to_date("processing_timestamp"))
+    writer = _writer(by_day, name, checkpoint, trigger, path).partitionBy("ingest_day")
+    return _start_files(writer, by_day, path, retention)
 
 
-def start_rejects(
-    rejected: DataFrame,
+def start_checked_table(
+    checked: DataFrame,
     path: str,
     checkpoint: str,
     trigger: Trigger = EVERY_INGEST,
-    name: str = "rejected_records",
+    name: str = CHECKED_TARGET,
+    retention: str | None = None,
 ) -> StreamingQuery:
-    """Append refused records to Parquet."""
-    return (
-        _writer(rejected, name, checkpoint, trigger)
-        .outputMode("append")
-        .format("parquet")
-        .start(path)
-    )
+    """Append accepted tickets and refused records, apart by folder, from one pass over the records."""
+    by_day = checked.withColumn("ingest_day", F.to_date("processing_timestamp"))
+    writer = _writer(by_day, name, checkpoint, trigger, path).partitionBy("verdict", "ingest_day")
+    return _start_files(writer, by_day, path, retention)
 
 
 def start_window_changes(
@@ -77,7 +101,7 @@ def start_window_changes(
     """Windowed counts in update mode: each micro-batch logs the counts it changed."""
     with state_partitions(tickets.sparkSession, partitions):
         return (
-            _writer(window_counts(tickets, *keys), name, checkpoint, trigger)
+            _writer(window_counts(tickets, *keys), name, checkpoint, trigger, path)
             .outputMode("update")
             .foreachBatch(change_writer(path))
             .start()
@@ -94,13 +118,9 @@ def start_window_table(
     partitions: int | None = None,
 ) -> StreamingQuery:
     """Windowed counts in append mode: each closed window is written once, finally."""
+    counts = window_counts(tickets, *keys)
     with state_partitions(tickets.sparkSession, partitions):
-        return (
-            _writer(window_counts(tickets, *keys), name, checkpoint, trigger)
-            .outputMode("append")
-            .format("parquet")
-            .start(path)
-        )
+        return _start_files(_writer(counts, name, checkpoint, trigger, path), counts, path)
 
 
 def start_exports(
@@ -108,10 +128,10 @@ def start_exports(
     exporter: BatchExporter,
     checkpoint: str,
     trigger: Trigger = EVERY_EXPORT,
-    name: str = "batch_aggregations",
+    name: str = EXPORTS_QUERY,
 ) -> StreamingQuery:
     """Hand each micro-batch to the exporter."""
-    return _writer(enriched, name, checkpoint, trigger).foreachBatch(exporter).start()
+    return _writer(enriched, name, checkpoint, trigger, exporter.root).foreachBatch(exporter).start()
 
 
 def wait_for(*queries: StreamingQuery) -> None:
