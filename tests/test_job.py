@@ -1,6 +1,7 @@
 """The whole job over replayed records, and the Kafka adapter's options."""
 
 import os
+from dataclasses import replace
 
 import pytest
 from conftest import EDGE_VALUES, make_records, rows
@@ -10,9 +11,13 @@ from pyspark.sql import functions as F
 from ticketmill.operators import row_count
 from ticketmill.plans import job
 from ticketmill.plans.job import JobConfig, catch_up, checkpoint_root, start_job
-from ticketmill.sinks import latest_counts, read_export
+from ticketmill.schema import ENRICHED_SCHEMA
+from ticketmill.sinks import LostCheckpointError, latest_counts, read_export
 from ticketmill.sources import (
     publish_to_kafka,
+    read_accepted,
+    read_enriched,
+    read_rejected,
     start_kafka_publish,
     stream_kafka,
     stream_records,
@@ -93,16 +98,17 @@ def test_catch_up_continues_where_it_ended(spark, topic, tmp_path):
     assert rows(row_count(table)) == [(12,)]
 
 
-def test_strict_job_separates_rejects(spark, topic, tmp_path):
-    setup = config(
-        tmp_path, strict=True, fan_out="source", windows="append",
-        ingest_trigger=ONCE, export_trigger=ONCE,
-    )
-    queries = start_job(spark, stream_records(spark, topic), setup)
-    wait_for(*queries)
+@pytest.mark.parametrize("fan_out", ["source", "table"])
+def test_strict_job_separates_rejects(spark, topic, tmp_path, fan_out):
+    setup = config(tmp_path, strict=True, fan_out=fan_out, windows="append")
+    catch_up(spark, stream_records(spark, topic), setup)
     out = setup.output_path
-    assert rows(row_count(spark.read.parquet(f"{out}/enriched_tickets"))) == [(5,)]
-    rejects = spark.read.parquet(f"{out}/rejected_records")
+    accepted = read_accepted(spark, f"{out}/checked_records")
+    assert rows(row_count(accepted)) == [(5,)]
+    assert accepted.columns == [*ENRICHED_SCHEMA.names, "ingest_day"]
+    rejects = read_rejected(spark, f"{out}/checked_records")
+    payloads = dict(rows(rejects.select("offset", F.col("value").cast("string"))))
+    assert payloads == {number: EDGE_VALUES[number] for number in (4, 5, 6, 8)}
     assert sorted(rows(rejects.select("offset", "reject_reason"))) == [
         (4, "bad_created_at"), (5, "no_ticket_fields"),
         (6, "missing_client_id"), (8, "null_value"),
@@ -114,6 +120,74 @@ def test_strict_job_separates_rejects(spark, topic, tmp_path):
     assert counts_of(closed, "priority") == {"high": 2, "low": 2}
 
 
+TARGETS = {
+    "enriched_tickets": {},
+    "checked_records": {"strict": True},
+    "tickets_by_type": {},
+    "tickets_by_priority": {"windows": "append"},
+    "batch_aggregations": {},
+    "batch_aggregations ": {"export_mode": "cumulative"},
+}
+
+
+@pytest.mark.parametrize("name", TARGETS)
+@pytest.mark.parametrize("how", ["lost", "replaced"])
+def test_lost_checkpoint_is_refused_before_anything_is_written(spark, topic, tmp_path, name, how):
+    setup, name = config(tmp_path, **TARGETS[name]), name.strip()
+    catch_up(spark, stream_records(spark, topic), setup)
+    make_records(spark, EDGE_VALUES[:3]).coalesce(1).write.mode("append").parquet(topic)
+    os.rename(tmp_path / "checkpoints" / name, tmp_path / "gone")
+    if how == "replaced":
+        other = config(tmp_path / "other", **TARGETS.get(f"{name} ", TARGETS[name]))
+        catch_up(spark, stream_records(spark, topic), other)
+        os.rename(tmp_path / "other" / "checkpoints" / name, tmp_path / "checkpoints" / name)
+    target = tmp_path / "out" if name == "batch_aggregations" else tmp_path / "out" / name
+
+    def files():
+        return {str(path): path.stat().st_mtime_ns for path in target.rglob("*") if path.is_file()}
+
+    if name == "batch_aggregations":  # the windows before it may go on
+        windows = ("enriched_tickets", "checked_records", "tickets_by")
+        kept = lambda: {path: time for path, time in files().items() if not any(w in path for w in windows)}
+    else:
+        kept = files
+    before = kept()
+    with pytest.raises(LostCheckpointError):
+        catch_up(spark, stream_records(spark, topic), setup)
+    for query in spark.streams.active:
+        query.stop()
+    assert kept() == before
+
+
+def test_reading_one_ingest_day_prunes_the_others(spark, topic, tmp_path):
+    setup = config(tmp_path)
+    catch_up(spark, stream_records(spark, topic), setup)
+    table = read_enriched(spark, f"{setup.output_path}/enriched_tickets")
+    day = table.agg(F.max("ingest_day")).first()[0]
+    one = table.filter(F.col("ingest_day") == day).select("ticket_id")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_day" in plan and one.count() == 9
+
+
+def test_late_start_works_through_the_table_in_micro_batches(spark, topic, tmp_path):
+    setup = config(tmp_path, max_files_per_trigger=1)
+    for day in range(2, 7):
+        if day > 2:  # the fixture's own records are of the first day
+            values = [value and value.replace("2026-01-01", f"2026-01-{day:02d}") for value in EDGE_VALUES]
+            make_records(spark, values).coalesce(1).write.mode("append").parquet(topic)
+        job.wait_for(*job.start_ingest(spark, stream_records(spark, topic), once(setup)))
+    job.wait_for(*job.start_counting(spark, None, once(setup)))
+    out = setup.output_path
+    windows = latest_counts(spark, f"{out}/tickets_by_priority", *PRIORITY_KEYS)
+    assert counts_of(windows, "priority") == {"high": 10, "low": 10, "medium": 5}
+    batches = os.listdir(tmp_path / "checkpoints" / "tickets_by_priority" / "commits")
+    assert len([name for name in batches if name.isdigit()]) >= 4
+
+
+def once(setup):
+    return replace(setup, ingest_trigger=ONCE, export_trigger=ONCE)
+
+
 def test_failed_query_raises(spark, topic, tmp_path):
     broken = stream_records(spark, topic).withColumn(
         "value", F.raise_error(F.lit("broken record")).cast("binary")
@@ -153,9 +227,6 @@ def test_checkpoints_default_to_the_shared_folder(spark, monkeypatch):
     setup = JobConfig("out")
     monkeypatch.setattr(job, "shared_folder", lambda session: "/shared")
     assert checkpoint_root(spark, setup) == "/shared/ticketmill/client_tickets"
-    monkeypatch.setattr(job, "shared_folder", lambda session: None)
-    with pytest.raises(ValueError, match="CHECKPOINT_PATH"):
-        checkpoint_root(spark, setup)
 
 
 def test_config_from_environment(spark):
@@ -173,12 +244,15 @@ def test_config_from_environment(spark):
             "MAX_OFFSETS_PER_TRIGGER": "1000",
             "MIN_PARTITIONS": "64",
             "STATE_PARTITIONS": "",
+            "MAX_FILES_PER_TRIGGER": "8",
+            "TABLE_RETENTION": "90d",
         }
     )
     assert (changed.servers, changed.topic, changed.output_path) == ("b:1", "t", "/o")
     assert (changed.strict, changed.export_mode) == (True, "cumulative")
     assert changed.max_offsets_per_trigger == 1000
     assert (changed.min_partitions, changed.state_partitions) == (64, None)
+    assert (changed.max_files_per_trigger, changed.table_retention) == (8, "90d")
     assert checkpoint_root(spark, changed) == "/c"
     with pytest.raises(ValueError):
         JobConfig("/o", fan_out="other")

@@ -5,12 +5,18 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from conftest import SF_DIR
+from pyspark.sql import functions as F
+
+from ticketmill.sources import read_events
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 import __spark_entry__ as entry_point  # noqa: E402
 
-QUERIES = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
+from ticketmill.plans import catalogue, oracle  # noqa: E402
+
+QUERIES = catalogue.queries()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +28,36 @@ def duck(sf_dir):
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= entry_point.queries().keys()
+    assert ORACLE.keys() <= entry_point.oracle_sql().keys() <= entry_point.queries().keys()
+
+
+@pytest.fixture(scope="module")
+def odd_events(spark, tmp_path_factory):
+    """Tables of events: some without a time, all without one, and none at all."""
+    folder = tmp_path_factory.mktemp("odd")
+    events = read_events(spark, SF_DIR).limit(300)
+    untimed = events.withColumn("ts", F.when(F.col("event_id") % 9 != 0, F.col("ts")))
+    tables = {"some": untimed, "all": events.withColumn("ts", F.lit(None).cast("timestamp_ntz")), "none": events.limit(0)}
+    for name, table in tables.items():
+        table.coalesce(1).write.parquet(str(folder / name / "events.parquet"))
+    return folder
+
+
+@pytest.mark.parametrize("table", ["some", "all", "none"])
+@pytest.mark.parametrize("name", ["stream_late_data", "sink_cumulative_exports", "stream_restart_totals"])
+def test_events_without_a_time_are_not_lost(spark, odd_events, table, name):
+    if name == "sink_cumulative_exports" and table == "none":
+        with pytest.raises(FileNotFoundError):  # an empty batch publishes nothing
+            QUERIES[name](spark, str(odd_events / table))
+        return
+    if name == "stream_restart_totals" and table == "none":
+        return  # the job has published nothing to read
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW events AS SELECT * FROM '{odd_events}/{table}/events.parquet/*.parquet'")
+    expected = connection.sql(ORACLE[name])
+    found = QUERIES[name](spark, str(odd_events / table)).select(*expected.columns)
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected.fetchall(), key=repr)
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -10,17 +10,18 @@ from collections.abc import Callable, Sequence
 from datetime import timedelta
 from functools import reduce, wraps
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ticketmill import operators as ops
 from ticketmill.plans.job import JobConfig, catch_up, enriched_tickets
-from ticketmill.schema import TICKET_FIELDS
+from ticketmill.schema import BY_PRIORITY_TARGET, BY_TYPE_TARGET, ENRICHED_TARGET, TICKET_FIELDS
 from ticketmill.session import pin_utc, scratch_dir
 from ticketmill.sinks import EXPORTS, BatchExporter, latest_counts, read_export, read_totals
 from ticketmill.sources import (
     event_records,
     event_tickets,
+    read_enriched,
     read_events,
     read_records,
     stream_events,
@@ -68,8 +69,9 @@ def _record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_records(stream_events(spark, sf_dir))
 
 
-# Here the payload is computed, not stored. parse_once also keeps that computation in
-# generated code: merged into the projection of the JSON parse it would be interpreted.
+# Here the payload is computed, not stored, so parse_once has a second use: it keeps that
+# computation in generated code, while merged into the projection of the JSON parse it
+# would be interpreted. On stored records only time windows need it.
 
 
 def _parsed(records: DataFrame) -> DataFrame:
@@ -323,17 +325,22 @@ def stream_by_priority_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 PARTS = 3
 
 
-def _time_cuts(events: DataFrame) -> list[Column]:
-    """Bounds of three parts of equal length in time: cuts[i] <= ts < cuts[i + 1]."""
+def _time_cuts(events: DataFrame) -> list[Column] | None:
+    """Bounds of three parts of equal length in time: cuts[i] <= ts < cuts[i + 1]. None if no event has a time."""
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    if first is None:
+        return None
     micros = (last - first) // timedelta(microseconds=1) + 1
     steps = [timedelta(microseconds=-(-micros * i // PARTS)) for i in range(PARTS + 1)]
     return [F.lit(first + step).cast("timestamp_ntz") for step in steps]
 
 
-def _between(events: DataFrame, cuts: list[Column], start: int, end: int) -> DataFrame:
-    """Events of some parts; the bounds reach the Parquet scan."""
-    return events.filter((F.col("ts") >= cuts[max(start, 0)]) & (F.col("ts") < cuts[end]))
+def _between(events: DataFrame, cuts: list[Column] | None, start: int, end: int) -> DataFrame:
+    """Events of some parts; the bounds reach the Parquet scan. Events without a time belong to the first part."""
+    if cuts is None:
+        return events if start <= 0 else events.filter(F.lit(False))
+    inside = (F.col("ts") >= cuts[max(start, 0)]) & (F.col("ts") < cuts[end])
+    return events.filter(inside | F.col("ts").isNull() if start <= 0 else inside)
 
 
 @_query
@@ -348,7 +355,10 @@ def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     cuts = _time_cuts(events)
     critical = F.col("priority") == "critical"
     for part in range(PARTS):
-        on_time = F.col("ts") >= cuts[part]
+        # Without a time a ticket is in the first part, which is part 0's own and before part 1.
+        on_time = F.lit(part == 0)
+        if cuts is not None:
+            on_time = F.coalesce(F.col("ts") >= cuts[part], on_time)
         due = on_time & ~critical | ~on_time & critical
         if part == PARTS - 1:
             due = due | critical
@@ -426,6 +436,73 @@ def stream_total_by_client(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_totals(spark, root, "by_client")
 
 
+def _arriving_in_parts(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, Callable[[int], DataFrame]]:
+    """A scratch folder, and a function that lets one more part of the events arrive and streams the records."""
+    out = scratch_dir(spark, name)
+    events = read_events(spark, sf_dir)
+    cuts = _time_cuts(events)
+
+    def arrive(part: int) -> DataFrame:
+        records = event_records(_between(events, cuts, part, part + 1))
+        records.write.mode("append").parquet(f"{out}/topic")
+        return stream_records(spark, f"{out}/topic")
+
+    return out, arrive
+
+
+@_query
+def stream_restart_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job run once per part on one checkpoint: what the table, the windows and the exports hold at the end."""
+    out, arrive = _arriving_in_parts(spark, sf_dir, "stream_restart_totals")
+    config = JobConfig(
+        output_path=f"{out}/data", checkpoint_path=f"{out}/checkpoints", export_mode="cumulative"
+    )
+    for part in range(PARTS):
+        catch_up(spark, arrive(part), config)
+    windows = latest_counts(spark, f"{out}/data/{BY_PRIORITY_TARGET}", *PRIORITY_KEYS)
+    return _tagged(
+        {
+            "enriched_tickets": ops.count_by(read_enriched(spark, f"{out}/data/{ENRICHED_TARGET}"), "priority"),
+            "tickets_by_priority": windows.groupBy("priority").agg(F.sum(COUNT).alias(COUNT)),
+            "batch_aggregations": read_export(spark, f"{out}/data", "agg_by_priority"),
+        }
+    )
+
+
+@_query
+def job_bookkeeping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the job does beside its results: query names, empty batches, processing times per micro-batch."""
+    out, arrive = _arriving_in_parts(spark, sf_dir, "job_bookkeeping")
+    names: set[str] = set()
+    exporter = BatchExporter(f"{out}/exports")
+    for part in range(PARTS):
+        tickets = _enriched(arrive(part))
+        queries = [
+            start_enriched_table(tickets, f"{out}/table", f"{out}/checkpoints/table", ONCE),
+            start_exports(tickets, exporter, f"{out}/checkpoints/exports", ONCE),
+        ]
+        names |= {query.name for query in queries}
+        wait_for(*queries)
+    published = read_export(spark, f"{out}/exports", "agg_by_priority")
+    exporter(_enriched(_records(spark, sf_dir)).filter(F.lit(False)), PARTS + 1)
+    after_empty = read_export(spark, f"{out}/exports", "agg_by_priority")
+    table = read_enriched(spark, f"{out}/table")
+    facts = {
+        "enriched_rows": table.count(),
+        "rows_without_processing_time": table.filter(F.col("processing_timestamp").isNull()).count(),
+        "processing_times": table.select("processing_timestamp").distinct().count(),
+        "named_queries": len(names & {"enriched_tickets", "batch_aggregations"}),
+        "changed_by_empty_batch": published.exceptAll(after_empty).count(),
+    }
+    return reduce(
+        DataFrame.unionByName,
+        [
+            spark.range(0, 1, 1, 1).select(F.lit(name).alias("fact"), F.lit(value).cast("bigint").alias("value"))
+            for name, value in facts.items()
+        ],
+    )
+
+
 @_query
 def publish_keyed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyed records written client by client, then read back and parsed."""
@@ -442,18 +519,27 @@ def publish_keyed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def partition_by_client(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per client: tickets written and number of files they are in."""
+    """Per client: tickets written, and whether its files follow each other with the tickets in order."""
     out = scratch_dir(spark, "partition_by_client")
     tickets = event_tickets(read_events(spark, sf_dir))
     placed = ops.partition_by_client(tickets, tell_apart=["event_id"])
     placed.select(*TICKET_FIELDS).write.parquet(f"{out}/data")
+    written = spark.read.schema("client_id STRING, created_at STRING, ticket_id STRING").parquet(f"{out}/data")
+    place = F.struct(F.coalesce("created_at", F.lit("")).alias("time"), F.col("ticket_id").alias("ticket"))
+    files = written.groupBy("client_id", F.col("_metadata.file_name").alias("file")).agg(
+        F.count("*").alias("n"), F.min(place).alias("first"), F.max(place).alias("last")
+    )
+    # Files are named in the order of the partitions. A client's files must be numbered
+    # without a gap, and none may start before the one before it ends.
+    numbered = files.withColumn("part", F.regexp_extract("file", r"part-(\d+)", 1).cast("int"))
+    before = F.lag("last").over(Window.partitionBy("client_id").orderBy("part"))
     return (
-        spark.read.schema("client_id STRING")
-        .parquet(f"{out}/data")
+        numbered.withColumn("before", before)
         .groupBy("client_id")
         .agg(
-            F.count("*").alias(COUNT),
-            F.count_distinct("_metadata.file_name").alias("partitions"),
+            F.sum("n").alias(COUNT),
+            F.count_if(F.col("before") > F.col("first")).alias("order_breaks"),
+            (F.max("part") - F.min("part") + 1 - F.count("*")).alias("gaps"),
         )
     )
 
@@ -469,12 +555,12 @@ def concurrent_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
         counts = latest_counts(spark, f"{out}/data/{name}", *keys)
         return counts.groupBy(*keys).agg(F.sum(COUNT).alias(COUNT))
 
-    enriched = spark.read.schema("assigned_team STRING").parquet(f"{out}/data/enriched_tickets")
+    enriched = read_enriched(spark, f"{out}/data/{ENRICHED_TARGET}")
     return _tagged(
         {
             "enriched_tickets": ops.count_by(enriched, "assigned_team"),
-            "tickets_by_type": window_total("tickets_by_type", TYPE_KEYS),
-            "tickets_by_priority": window_total("tickets_by_priority", PRIORITY_KEYS),
+            "tickets_by_type": window_total(BY_TYPE_TARGET, TYPE_KEYS),
+            "tickets_by_priority": window_total(BY_PRIORITY_TARGET, PRIORITY_KEYS),
             "batch_aggregations": read_export(spark, f"{out}/data", "agg_hourly_volume"),
         }
     )

@@ -1,4 +1,4 @@
-"""The whole job: one record stream, four named queries (five in strict mode)."""
+"""The whole job: one record stream, four named queries."""
 
 from __future__ import annotations
 
@@ -11,18 +11,27 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ticketmill.operators import (
     accepted_tickets,
+    checked_tickets,
     enrich_tickets,
     parse_tickets,
-    rejected_records,
 )
-from ticketmill.schema import TOPIC
+from ticketmill.schema import (
+    BY_PRIORITY_TARGET,
+    BY_TYPE_TARGET,
+    CHECKED_TARGET,
+    DEFAULT_OUTPUT,
+    DEFAULT_SERVERS,
+    ENRICHED_TARGET,
+    EXPORTS_QUERY,
+    TOPIC,
+)
 from ticketmill.session import build_session, pin_utc, shared_folder
 from ticketmill.sinks import BatchExporter
-from ticketmill.sources import stream_enriched, stream_kafka
+from ticketmill.sources import stream_accepted, stream_enriched, stream_kafka
 from ticketmill.streaming import (
+    start_checked_table,
     start_enriched_table,
     start_exports,
-    start_rejects,
     start_window_changes,
     start_window_table,
     wait_for,
@@ -42,13 +51,13 @@ class JobConfig:
     output_path: str
     # None: a folder under the session's spark.checkpoint.dir.
     checkpoint_path: str | None = None
-    servers: str = "localhost:9092"
+    servers: str = DEFAULT_SERVERS
     topic: str = TOPIC
     fail_on_data_loss: bool = True
     max_offsets_per_trigger: int | None = None
     # More tasks than topic partitions: a hot client makes its topic partition hot.
     min_partitions: int | None = None
-    # Refuse malformed records instead of storing and counting them.
+    # Refuse malformed records: accepted and refused ones go to one checked table.
     strict: bool = False
     # "table": records are read and parsed once, into the enriched table, and the
     # counting queries follow that table. "source": each query reads the records.
@@ -58,6 +67,10 @@ class JobConfig:
     export_mode: str = "last_batch"
     exports_in_place: bool = False
     state_partitions: int | None = None
+    # Bound of one micro-batch of the queries that follow the table, for late starts.
+    max_files_per_trigger: int | None = None
+    # Age at which files leave the table and its commit log, e.g. "90d"; None keeps all.
+    table_retention: str | None = None
     ingest_trigger: Trigger = field(default_factory=lambda: EVERY_INGEST)
     export_trigger: Trigger = field(default_factory=lambda: EVERY_EXPORT)
 
@@ -67,14 +80,16 @@ class JobConfig:
             return int(env[name]) if env.get(name) else None
 
         return cls(
-            servers=env.get("KAFKA_BROKER", "localhost:9092"),
+            servers=env.get("KAFKA_BROKER", DEFAULT_SERVERS),
             topic=env.get("TOPIC_NAME", TOPIC),
-            output_path=env.get("OUTPUT_PATH", "output"),
+            output_path=env.get("OUTPUT_PATH", DEFAULT_OUTPUT),
             checkpoint_path=env.get("CHECKPOINT_PATH"),
             fail_on_data_loss=env.get("FAIL_ON_DATA_LOSS", "true").lower() == "true",
             max_offsets_per_trigger=number("MAX_OFFSETS_PER_TRIGGER"),
             min_partitions=number("MIN_PARTITIONS"),
             state_partitions=number("STATE_PARTITIONS"),
+            max_files_per_trigger=number("MAX_FILES_PER_TRIGGER"),
+            table_retention=env.get("TABLE_RETENTION"),
             strict=env.get("STRICT", "false").lower() == "true",
             fan_out=env.get("FAN_OUT", "table"),
             windows=env.get("WINDOW_OUTPUT", "update"),
@@ -102,36 +117,26 @@ def enriched_tickets(
 def checkpoint_root(spark: SparkSession, config: JobConfig) -> str:
     if config.checkpoint_path:
         return config.checkpoint_path.rstrip("/")
-    shared = shared_folder(spark)
-    if shared is None:
-        raise ValueError("set CHECKPOINT_PATH or spark.checkpoint.dir")
-    return f"{shared}/ticketmill/{config.topic}"
+    return f"{shared_folder(spark)}/ticketmill/{config.topic}"
 
 
 def start_ingest(
     spark: SparkSession, records: DataFrame, config: JobConfig
 ) -> list[StreamingQuery]:
-    """Start the query that fills the enriched table and, in strict mode, the rejects."""
+    """Start the query that fills the table: enriched tickets or, in strict mode, checked ones."""
     pin_utc(spark)
-    checkpoints = checkpoint_root(spark, config)
-    queries = [
-        start_enriched_table(
-            enriched_tickets(records, config.strict),
-            config.table("enriched_tickets"),
-            f"{checkpoints}/enriched_tickets",
+    target = CHECKED_TARGET if config.strict else ENRICHED_TARGET
+    start = start_checked_table if config.strict else start_enriched_table
+    rows = enrich_tickets(checked_tickets(records)) if config.strict else enriched_tickets(records)
+    return [
+        start(
+            rows,
+            config.table(target),
+            f"{checkpoint_root(spark, config)}/{target}",
             config.ingest_trigger,
+            retention=config.table_retention,
         )
     ]
-    if config.strict:
-        queries.append(
-            start_rejects(
-                rejected_records(records),
-                config.table("rejected_records"),
-                f"{checkpoints}/rejected_records",
-                config.ingest_trigger,
-            )
-        )
-    return queries
 
 
 def start_counting(
@@ -141,7 +146,9 @@ def start_counting(
     pin_utc(spark)
     checkpoints = checkpoint_root(spark, config)
     if config.fan_out == "table":
-        timed = tickets = stream_enriched(spark, config.table("enriched_tickets"))
+        target = CHECKED_TARGET if config.strict else ENRICHED_TARGET
+        follow = stream_accepted if config.strict else stream_enriched
+        timed = tickets = follow(spark, config.table(target), config.max_files_per_trigger)
     else:
         timed = enriched_tickets(records, config.strict, parse_once=True)
         tickets = enriched_tickets(records, config.strict)
@@ -157,14 +164,14 @@ def start_counting(
             config.ingest_trigger,
             config.state_partitions,
         )
-        for name, keys in (("tickets_by_type", TYPE_KEYS), ("tickets_by_priority", PRIORITY_KEYS))
+        for name, keys in ((BY_TYPE_TARGET, TYPE_KEYS), (BY_PRIORITY_TARGET, PRIORITY_KEYS))
     ]
     exporter = BatchExporter(
         config.output_path, mode=config.export_mode, in_place=config.exports_in_place
     )
     queries.append(
         start_exports(
-            tickets, exporter, f"{checkpoints}/batch_aggregations", config.export_trigger
+            tickets, exporter, f"{checkpoints}/{EXPORTS_QUERY}", config.export_trigger
         )
     )
     return queries

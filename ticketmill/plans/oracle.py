@@ -170,7 +170,21 @@ GROUP BY GROUPING SETS ((request_type, assigned_team), (priority), (hour), (clie
         "publish_keyed_json": f"""{ENRICHED} SELECT client_id AS key, ticket_id, client_id,
        created_at, request, request_type, priority FROM en""",
         "partition_by_client": f"""{ENRICHED} SELECT client_id, count(*) AS ticket_count,
-       CAST(1 AS bigint) AS partitions FROM en GROUP BY client_id""",
+       CAST(0 AS bigint) AS order_breaks, CAST(0 AS bigint) AS gaps FROM en GROUP BY client_id""",
+        "stream_restart_totals": f"""{ENRICHED}
+SELECT 'enriched_tickets' AS target, priority AS key, CAST(NULL AS varchar) AS detail,
+       count(*) AS ticket_count FROM en GROUP BY ALL
+UNION ALL SELECT 'tickets_by_priority', priority, NULL, count(*) FROM en WHERE ts IS NOT NULL GROUP BY ALL
+UNION ALL SELECT 'batch_aggregations', priority, NULL, count(*) FROM en GROUP BY ALL""",
+        "job_bookkeeping": f"""{ENRICHED}
+SELECT 'enriched_rows' AS fact, count(*) AS value FROM en
+UNION ALL SELECT 'rows_without_processing_time', 0
+-- one processing time per micro-batch: a third with no event makes none
+UNION ALL SELECT 'processing_times', count(DISTINCT third) FROM (
+  SELECT coalesce(((epoch_us(ts) - low) * 3) // (high - low + 1), 0) AS third FROM en,
+         (SELECT epoch_us(min(ts)) AS low, epoch_us(max(ts)) AS high FROM en))
+UNION ALL SELECT 'named_queries', 2
+UNION ALL SELECT 'changed_by_empty_batch', 0""",
         "concurrent_queries": f"""{ENRICHED}
 SELECT 'enriched_tickets' AS target, assigned_team AS key, CAST(NULL AS varchar) AS detail,
        count(*) AS ticket_count FROM en GROUP BY ALL
