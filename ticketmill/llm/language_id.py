@@ -32,7 +32,7 @@ UNKNOWN = "und"
 # Bounds of the labelled sample: documents per language, and characters of each.
 SAMPLED_DOCUMENTS = 64
 SAMPLED_CHARS = 2_000
-LEVEL = 3
+LEVEL = 9
 PART_BYTES = 2_048
 # Rejected if the second best is less than this share larger than the best, in sizes after compression.
 NARROW_MARGIN = 0.01
