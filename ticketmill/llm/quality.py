@@ -42,59 +42,66 @@ _CLASS[[9, 10, 11, 12, 13, 32]] = 4
 _CLASS[[ord(one) for one in ".,;:'\"-()?"]] = 5
 _CLASS[128:] = 7
 
-STATISTICS = (
-    "log_bytes",
-    "log_words",
-    "mean_word",
-    "spread_of_words",
-    "lower_share",
-    "upper_share",
-    "digit_share",
-    "prose_punctuation_share",
-    "symbol_share",
-    "other_bytes_share",
-    "distinct_words_share",
-    "short_words_share",
-    "log_line_words",
-    "repeated_lines_share",
-    "repeated_word_pairs_share",
-    "byte_entropy",
-)
-
-
-def _logit(part: float, whole: float) -> float:
-    """Logit of a share with half an observation added to both sides."""
-    return float(np.log((part + 0.5) / (whole - part + 0.5)))
+# What prose usually has: shares, and the rest. A short text says little about itself, so
+# each statistic starts from so many usual bytes, words or lines and is moved by the text's own.
+USUAL_BYTES, USUAL_WORDS, USUAL_LINES = 60, 12, 3
+USUAL = {
+    "lower_share": 0.8,
+    "upper_share": 0.02,
+    "digit_share": 0.002,
+    "prose_punctuation_share": 0.02,
+    "symbol_share": 0.002,
+    "other_bytes_share": 0.03,
+    "distinct_words_share": 0.9,
+    "short_words_share": 0.35,
+    "repeated_lines_share": 0.01,
+    "repeated_word_pairs_share": 0.02,
+    "mean_word": 6.0,
+    "spread_of_words": 3.5,
+    "line_words": 12.0,
+    "byte_entropy": 4.2,
+}
+STATISTICS = tuple(USUAL)
 
 
 def statistics(text: bytes) -> list[float]:
-    """The transformed statistics of a whole text, in the order of ``STATISTICS``."""
+    """The transformed statistics of a whole text, in the order of ``STATISTICS``.
+
+    Shares become logits; means and spreads become logarithms.
+    """
     data = np.frombuffer(text, dtype=np.uint8)
     per_byte = np.bincount(data, minlength=256)
     kinds = np.bincount(_CLASS, weights=per_byte, minlength=8)
     size = len(data)
     words = text.split()
-    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    count = len(words)
+    lengths = np.fromiter(map(len, words), dtype=np.int64, count=count)
     lines = [line for line in text.split(b"\n") if line.strip()]
-    pairs = set(zip(words, words[1:]))
+    pairs = max(0, count - 1)
     shares = per_byte[per_byte > 0] / max(1, size)
+
+    def logit(name: str, part: float, whole: float, usual: int) -> float:
+        part, whole = part + usual * USUAL[name], whole + usual
+        return float(np.log(part / (whole - part)))
+
+    def mean(name: str, own: float, weight: float, usual: int) -> float:
+        return (own * weight + USUAL[name] * usual) / (weight + usual)
+
     return [
-        float(np.log1p(size)),
-        float(np.log1p(len(words))),
-        float(np.log1p(lengths.mean())) if len(words) else 0.0,
-        float(np.log1p(lengths.std())) if len(words) else 0.0,
-        _logit(kinds[1], size),
-        _logit(kinds[2], size),
-        _logit(kinds[3], size),
-        _logit(kinds[5], size),
-        _logit(kinds[6], size),
-        _logit(kinds[7], size),
-        _logit(len(set(words)), len(words)),
-        _logit(int((lengths <= 3).sum()), len(words)),
-        float(np.log1p(len(words) / max(1, len(lines)))),
-        _logit(len(lines) - len(set(lines)), len(lines)),
-        _logit(max(0, len(words) - 1 - len(pairs)), max(0, len(words) - 1)),
-        float(-(shares * np.log2(shares)).sum()) if size else 0.0,
+        logit("lower_share", kinds[1], size, USUAL_BYTES),
+        logit("upper_share", kinds[2], size, USUAL_BYTES),
+        logit("digit_share", kinds[3], size, USUAL_BYTES),
+        logit("prose_punctuation_share", kinds[5], size, USUAL_BYTES),
+        logit("symbol_share", kinds[6], size, USUAL_BYTES),
+        logit("other_bytes_share", kinds[7], size, USUAL_BYTES),
+        logit("distinct_words_share", len(set(words)), count, USUAL_WORDS),
+        logit("short_words_share", int((lengths <= 3).sum()), count, USUAL_WORDS),
+        logit("repeated_lines_share", len(lines) - len(set(lines)), len(lines), USUAL_LINES),
+        logit("repeated_word_pairs_share", pairs - len(set(zip(words, words[1:]))), pairs, USUAL_WORDS),
+        float(np.log(mean("mean_word", lengths.mean() if count else 0.0, count, USUAL_WORDS))),
+        float(np.log(mean("spread_of_words", lengths.std() if count else 0.0, count, USUAL_WORDS))),
+        float(np.log(mean("line_words", count / max(1, len(lines)), len(lines), USUAL_LINES))),
+        mean("byte_entropy", float(-(shares * np.log2(shares)).sum()) if size else 0.0, size, USUAL_BYTES),
     ]
 
 
