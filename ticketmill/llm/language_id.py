@@ -18,6 +18,7 @@ rows with a null id are never learned from. Other columns are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,9 +30,11 @@ from pyspark.sql import functions as F
 from ticketmill.llm.common import arrow_map, as_texts
 
 UNKNOWN = "und"
-# Bounds of the labelled sample: documents per language, and characters of each.
+# Bounds of the labelled sample: documents per language, characters of each, and how many of
+# them are read to find as many that no other sampled document shares.
 SAMPLED_DOCUMENTS = 64
 SAMPLED_CHARS = 2_000
+READ_CHARS = 2 * SAMPLED_CHARS
 LEVEL = 9
 PART_BYTES = 2_048
 # Rejected if the second best is less than this share larger than the best, in sizes after compression.
@@ -66,7 +69,7 @@ def train(labelled: DataFrame, id_col: str, text_col: str, lang_col: str) -> Lan
         sizes[row["lang"]] = sizes.get(row["lang"], 0) + row["n"]
     sample = (
         rows.where(F.col("hash").isin([row["hash"] for row in slots]))
-        .select("lang", "hash", F.substring("text", 1, SAMPLED_CHARS).alias("text"))
+        .select("lang", "hash", F.substring("text", 1, READ_CHARS).alias("text"))
         .distinct()
         .collect()
         if slots
@@ -76,10 +79,43 @@ def train(labelled: DataFrame, id_col: str, text_col: str, lang_col: str) -> Lan
     texts: dict[str, list[str]] = {}
     for row in sorted(sample, key=lambda row: (row["lang"], row["hash"], row["text"])):
         if (row["lang"], row["hash"]) in wanted:
-            texts.setdefault(row["lang"], []).append(plain_letters(row["text"]))
+            texts.setdefault(row["lang"], []).append(row["text"])
     order = sorted(texts, key=lambda lang: (-sizes[lang], lang))
+    return build_model({lang: texts[lang] for lang in order})
+
+
+def build_model(texts: dict[str, list[str]]) -> LanguageModel:
+    """Dictionaries from labelled texts, without what several of them share and without doubtful ones.
+
+    A passage that goes through texts of many languages would draw its copies to any of
+    them, so lines of more than one text are left out. Then each half of the sample is
+    judged by the dictionaries of the other half, and only texts that keep their label stay.
+    """
+    distinct = {lang: list(dict.fromkeys(some)) for lang, some in texts.items()}
+    seen = Counter(line for some in distinct.values() for text in some for line in set(text.split("\n")))
+    own_lines = {
+        lang: [
+            plain_letters("\n".join(line for line in text.split("\n") if seen[line] == 1)[:SAMPLED_CHARS])
+            for text in some
+        ]
+        for lang, some in distinct.items()
+    }
+    sample = {
+        lang: [text for text in own_lines[lang] if text] or [plain_letters(text[:SAMPLED_CHARS]) for text in some]
+        for lang, some in distinct.items()
+    }
+    halves = [{lang: some[k::2] for lang, some in sample.items()} for k in (0, 1)]
+    agreed: dict[str, list[str]] = {lang: [] for lang in texts}
+    for own, other in (halves, halves[::-1]):
+        judge = Classifier(_dictionaries(other))
+        for lang, some in own.items():
+            agreed[lang] += [text for text in some if judge.classify(text)[0] == lang]
+    return _dictionaries({lang: agreed[lang] or some for lang, some in sample.items()})
+
+
+def _dictionaries(texts: dict[str, list[str]]) -> LanguageModel:
     # A dictionary of under 8 bytes is refused by the library.
-    return LanguageModel({lang: " ".join(texts[lang]).encode().ljust(8) for lang in order})
+    return LanguageModel({lang: " ".join(some).encode().ljust(8) for lang, some in texts.items()})
 
 
 class Classifier:

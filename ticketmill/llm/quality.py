@@ -158,7 +158,7 @@ def train(described: DataFrame, labels: DataFrame, id_col: str, label_col: str)
         F.transform("statistics", lambda a: F.transform("statistics", lambda b: a * b))
     )
     totals = (
-        described.join(wanted, "doc_id")
+        described.join(wanted.hint("merge"), "doc_id")  # one way at every size
         .select("label", F.posexplode(F.concat(F.array(F.lit(1.0)), "statistics", products)).alias("at", "value"))
         .groupBy("label", "at")
         .agg(F.sum("value").alias("total"))
