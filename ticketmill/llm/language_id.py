@@ -141,7 +141,7 @@ class Classifier:
     def classify(self, text: str) -> tuple[str, float, float, bool]:
         """Language, score, margin and whether the text is rejected."""
         letters = plain_letters(text)
-        if not letters or not self.languages:
+        if not self.languages or not any(map(str.isalpha, letters)):
             return UNKNOWN, 0.0, 0.0, True
         sizes = self.sizes(letters)
         best = min(sizes)
