@@ -75,23 +75,20 @@ def with_possible_copies(digests: DataFrame, bitmaps: DataFrame, cells: int) ->
     return looked_up.select(*digests.columns, (hits[0] & hits[1]).alias("possible"))
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
+def _sorted_out(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, int]:
+    """doc_id, text_sha256 and ``possible`` of every row, with the bitmaps and their number of cells."""
     digests = written(
         docs.select(F.col(id_col).cast("long").alias("doc_id"), text_digest(F.col(text_col)).alias("text_sha256")),
         "digests",
     )
     wanted = max(MIN_CELLS, CELLS_PER_DOCUMENT * digests.count())
     cells = min(MAX_CELLS, 1 << (wanted - 1).bit_length())
-    sorted_out = written(with_possible_copies(digests, repeated_cells(digests, cells), cells), "possible-copies")
+    bitmaps = written(repeated_cells(digests, cells), "repeated-cells")
+    return written(with_possible_copies(digests, bitmaps, cells), "possible-copies"), bitmaps, cells
 
-    alone = sorted_out.where(~F.col("possible")).select(
-        "doc_id",
-        F.col("doc_id").alias("keep_id"),
-        F.lit(1).cast("long").alias("group_size"),
-        F.lit(True).alias("kept"),
-        "text_sha256",
-    )
+
+def _members_and_groups(sorted_out: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Possible copies by digest and id with their number of rows, and the groups they form."""
     # Equal rows of an id and a text become one with their number, so no group is gathered row by row.
     members = written(
         sorted_out.where("possible").groupBy("text_sha256", "doc_id").agg(F.count(F.lit(1)).alias("rows")), "members"
@@ -102,6 +99,20 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         ),
         "groups",
     )
+    return members, groups
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
+    sorted_out, _, _ = _sorted_out(docs, id_col, text_col)
+    alone = sorted_out.where(~F.col("possible")).select(
+        "doc_id",
+        F.col("doc_id").alias("keep_id"),
+        F.lit(1).cast("long").alias("group_size"),
+        F.lit(True).alias("kept"),
+        "text_sha256",
+    )
+    members, groups = _members_and_groups(sorted_out)
     # No more than HOT_GROUPS groups can have over 1/HOT_GROUPS of all members.
     hot_rows = max(MIN_HOT_ROWS, -(-members.count() // HOT_GROUPS))
     hot = F.broadcast(groups.where(F.col("members") > hot_rows))
@@ -126,21 +137,28 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Every row is looked up by id and digest among the rows that go. Where rows repeat an
-    id and a text of which one stays, one of them is taken.
+    Rows that the filter rules out pass straight through. The others meet the row that stays
+    of their group by id and digest. Where rows repeat an id and a text of which one stays,
+    one of them is taken. Of a group without ids, one row is taken.
     """
-    groups = exact_groups(docs, id_col, text_col)
-    fates = (
-        groups.where("group_size > 1")
-        .groupBy(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__digest"))
-        .agg(F.max("kept").alias("__kept"), F.count(F.lit(1)).alias("__rows"))
-        .where("not __kept or __rows > 1")
+    sorted_out, bitmaps, cells = _sorted_out(docs, id_col, text_col)
+    _, groups = _members_and_groups(sorted_out)
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col(id_col).cast("long").alias("doc_id"),
+        text_digest(F.col(text_col)).alias("text_sha256"),
     )
-    looked_up = docs.withColumn("__text", text_digest(F.col(text_col))).join(
-        written(fates, "fates"),
-        F.col("__id").eqNullSafe(F.col(id_col).cast("long")) & (F.col("__text") == F.col("__digest")),
-        "left",
+    looked_up = with_possible_copies(rows, bitmaps, cells)
+    alone = looked_up.where(~F.col("possible")).select("row.*")
+    stays = groups.select(F.col("text_sha256").alias("digest"), "keep_id")
+    # One way at every size: a merge join of the possible copies, spread by id and digest.
+    kept = (
+        looked_up.where("possible")
+        .join(
+            stays.hint("merge"),
+            (F.col("text_sha256") == F.col("digest")) & F.col("doc_id").eqNullSafe(F.col("keep_id")),
+        )
+        .dropDuplicates(["text_sha256", "doc_id"])
+        .select("row.*")
     )
-    unaffected = looked_up.where("__kept is null").select(*docs.columns)
-    repeated = looked_up.where("__kept").dropDuplicates(["__id", "__digest"]).select(*docs.columns)
-    return unaffected.unionByName(repeated)
+    return alone.unionByName(kept)
