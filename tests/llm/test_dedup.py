@@ -201,6 +201,47 @@ def test_near_copies_of_a_long_text_are_one_component(spark):
     assert {row.doc_id for row in kept.collect()} == set(classes.values()) and classes[100] == 100
 
 
+def linked_texts(texts):
+    """Texts by component: each with the texts it is linked to, over any number of links."""
+    points = {text: brute_fingerprint(text, 3) for text in texts}
+    sets = []
+    for text, point in points.items():
+        near = [one for one in sets if any((points[other] ^ point).bit_count() <= 2 for other in one)]
+        sets = [one for one in sets if one not in near] + [set().union({text}, *near)]
+    return sets
+
+
+def test_one_row_of_each_component_stays(spark):
+    base = words(20, 400)
+    edited = lambda i: " ".join(base[: 400 - i] + ["x"] + base[400 - i :])
+    alone = [sentence(30 + i, 50) for i in range(5)]
+    other = words(23, 400)
+    rows = [
+        (1, edited(1)),
+        (None, edited(2)),  # its component has an id
+        (None, alone[0]),
+        (None, alone[1]),
+        (2, edited(3)),
+        (2, alone[2]),  # shares an id with a near copy
+        (3, alone[3]),
+        (3, alone[3]),  # repeats an id and a text
+        (None, alone[4]),
+        (None, alone[4]),
+        (None, " ".join(other)),  # near copies, none of which has an id
+        (None, " ".join(["x", *other])),
+    ]
+    rows += [row for row in EDGE_ROWS if row[0] != 9]
+    docs = make_docs(spark, rows).repartition(3)
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    found = Counter((row.doc_id, row.text) for row in kept.collect())
+    assert set(found.values()) == {1}
+    for component in linked_texts({text for _, text in rows}):
+        stays = [one for one in found if one[1] in component]
+        ids = [doc_id for doc_id, text in rows if text in component and doc_id is not None]
+        assert len(stays) == 1 and stays[0] in rows and stays[0][0] == min(ids, default=None)
+
+
 def test_near_duplicates_without_rows(no_docs):
     assert simhash.near_duplicates(no_docs).collect() == []
     assert simhash.drop_near_duplicates(no_docs).collect() == []

@@ -17,6 +17,11 @@ Defined results: null texts count as empty. A text without words has fingerprint
 which links like any other. A text with fewer words than a shingle is one shingle. Repeated
 rows share a fingerprint. Null ids come out as they are and name no component as long as
 another id does. Other columns are not read.
+
+``drop_near_duplicates`` keeps exactly one row of each component: that with the smallest id,
+null ids last; of rows that share this id, or if there is none, that with the smallest text
+hash; and of rows that repeat id and text, any one. A row is told by its id and its text, so
+what happens to it never depends on rows of other components that share its id or lack one.
 """
 
 from __future__ import annotations
@@ -64,15 +69,18 @@ def fingerprint(text: bytes, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and point (the fingerprint as a signed long) of every row."""
+    """doc_id, text_hash and point (the fingerprint as a signed long) of every row."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             points = [fingerprint(text, shingle) for text in as_bytes(batch.column("text"))]
             signed = pa.array(np.array(points, dtype=np.uint64).view(np.int64), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), signed], names=["doc_id", "point"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_hash"), signed], names=["doc_id", "text_hash", "point"]
+            )
 
-    return arrow_map(id_and_text(docs, id_col, text_col), hashed, "doc_id long, point long")
+    rows = id_and_text(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+    return arrow_map(rows, hashed, "doc_id long, text_hash long, point long")
 
 
 def _remainders(words: np.ndarray) -> np.ndarray:
@@ -162,7 +170,7 @@ def near_duplicates(
     docs: DataFrame, shingle: int = 3, threshold: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id."""
-    hashed = written(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    hashed = written(fingerprints(docs, shingle, id_col, text_col).select("doc_id", "point"), "fingerprints")
     points = written(hashed.groupBy("point").agg(F.min("doc_id").alias("least")), "points")
     roots = connected_components(near_links(points.select("point"), threshold))
     rooted = points.join(roots.withColumnRenamed("node", "point"), "point", "left").select(
@@ -177,7 +185,31 @@ def near_duplicates(
 def drop_near_duplicates(
     docs: DataFrame, shingle: int = 3, threshold: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the one with its smallest id."""
-    classes = near_duplicates(docs, shingle, threshold, id_col, text_col)
-    gone = classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__gone"))
-    return docs.join(written(gone.distinct(), "gone"), F.col("__gone").eqNullSafe(docs[id_col].cast("long")), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns: one of each component."""
+    hashed = fingerprints(docs, shingle, id_col, text_col)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    # Equal rows of an id and a text become one with their number.
+    rows = written(
+        hashed.groupBy("doc_id", "text_hash", "point").agg(F.count(F.lit(1)).alias("rows")), "fingerprints"
+    )
+    points = written(rows.groupBy("point").agg(F.min(order).alias("least")), "points")
+    roots = connected_components(near_links(points.select("point"), threshold))
+    rooted = points.join(roots.withColumnRenamed("node", "point"), "point", "left").select(
+        "point", "least", F.coalesce("root", "point").alias("root")
+    )
+    stays = (
+        rooted.groupBy("root")
+        .agg(F.min("least").alias("least"))
+        .select(F.col("least.doc_id").alias("__id"), F.col("least.text_hash").alias("__text"), F.lit(True).alias("__stays"))
+    )
+    # Only rows that go, and those of which one stays, are named; all others pass straight through.
+    named = written(
+        rows.join(stays, F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__text") == F.col("text_hash")), "left")
+        .where("__stays is null or rows > 1")
+        .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"), "__stays"),
+        "named",
+    )
+    same = F.col("__id").eqNullSafe(docs[id_col].cast("long")) & (F.col("__text") == F.xxhash64(docs[text_col]))
+    alone = docs.join(named.drop("__stays"), same, "left_anti")
+    one_of_each = docs.join(named.where("__stays"), same).dropDuplicates(["__id", "__text"]).select(*docs.columns)
+    return alone.unionByName(one_of_each)
