@@ -19,10 +19,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go; it learns from the labels of these documents."""
+    """Documents that the quality classifier rejects go; it learns from the labels of these documents.
+
+    A document is told by its id and its text: others that share its id, or lack one as it does, have their own score.
+    """
     scores = queries.quality_scores(docs, read_table(spark, sf_dir, "labels"))
-    rejected = written(scores.where("predicted = 0").select(F.col("doc_id").alias("__gone")).distinct(), "rejected")
-    return docs.join(rejected, F.col("__gone").eqNullSafe(docs["doc_id"]), "left_anti")
+    gone = scores.where("predicted = 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"))
+    same = F.col("__id").eqNullSafe(docs["doc_id"].cast("long")) & (F.col("__text") == F.xxhash64(docs["text"]))
+    return docs.join(written(gone.distinct(), "rejected"), same, "left_anti")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -223,6 +223,21 @@ def test_quality_without_labels_or_with_one_class(spark, edge_docs, no_docs):
     assert queries.quality_scores(no_docs, one).collect() == []
 
 
+def test_quality_stage_tells_texts_of_one_id_apart(spark, tmp_path):
+    import corpus_pipeline
+
+    good, bad = quality_rows()
+    rows = [*good[:-4], *bad[:-2], (good[0][0], bad[-1][1]), (None, bad[-2][1])]
+    rows += [(None, text) for _, text in good[-4:-1]] + [(bad[0][0], good[-1][1])]
+    labels = [(i, 1, 0) for i, _ in good[1:-4]] + [(i, 0, 0) for i, _ in bad[1:-2]]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = make_docs(spark, rows)
+    kept = corpus_pipeline.keep_good(spark, docs, str(tmp_path))
+    clean = {text for _, text in good}
+    assert kept.columns == docs.columns
+    assert Counter((row.doc_id, row.text) for row in kept.collect()) == Counter(row for row in rows if row[1] in clean)
+
+
 # --- secrets ----------------------------------------------------------------------
 
 CANDIDATE = re.compile(

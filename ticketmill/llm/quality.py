@@ -106,16 +106,18 @@ def statistics(text: bytes) -> list[float]:
 
 
 def describe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id and its statistics as an array."""
+    """Per row of ``docs``: doc_id, text_hash and its statistics as an array."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [statistics(text) for text in as_bytes(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(rows, pa.list_(pa.float64()))], names=["doc_id", "statistics"]
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(rows, pa.list_(pa.float64()))],
+                names=["doc_id", "text_hash", "statistics"],
             )
 
-    return arrow_map(id_and_text(docs, id_col, text_col), compute, "doc_id long, statistics array<double>")
+    rows = id_and_text(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+    return arrow_map(rows, compute, "doc_id long, text_hash long, statistics array<double>")
 
 
 @dataclass(frozen=True)
@@ -194,13 +196,16 @@ def fit(sums: dict[int, np.ndarray]) -> QualityModel:
 
 
 def score(described: DataFrame, model: QualityModel) -> DataFrame:
-    """Per row of ``described``: doc_id and score."""
+    """Per row of ``described``: doc_id, text_hash and score."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = np.array(batch.column("statistics").to_pylist(), dtype=float).reshape(-1, len(STATISTICS))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(model.scores(rows), pa.float64())], names=["doc_id", "score"]
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(model.scores(rows), pa.float64())],
+                names=["doc_id", "text_hash", "score"],
             )
 
-    return arrow_map(described.select("doc_id", "statistics"), apply, "doc_id long, score double")
+    return arrow_map(
+        described.select("doc_id", "text_hash", "statistics"), apply, "doc_id long, text_hash long, score double"
+    )

@@ -69,12 +69,13 @@ def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, held_out, score, predicted; learned from labels that aren't held out."""
+    """Per row of ``docs``: doc_id, text_hash, held_out, score, predicted; learned from labels that aren't held out."""
     described = written(quality.describe(docs), "statistics")
     learned = labels.where(~held_out(labels, 5, 0))
     scored = quality.score(described, quality.train(described, learned, "doc_id", "quality"))
     return scored.select(
         "doc_id",
+        "text_hash",
         held_out(scored, 5, 0).alias("held_out"),
         "score",
         F.when(F.col("score") >= GOOD_SCORE, 1).otherwise(0).cast("int").alias("predicted"),
@@ -82,7 +83,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    scores = quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return scores.drop("text_hash")
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
