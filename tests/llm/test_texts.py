@@ -296,6 +296,14 @@ def test_redaction(spark):
         assert texts[doc_id] == (text, len(text) if doc_id in secrets else None)
 
 
+def test_words_before_a_candidate_reach_over_earlier_candidates(spark):
+    text = 'x' * 60 + ' db_password_2 = "0f1e2d3c4b5a6978", next-secret-4="aB3/dE5+gH7/jK9mN1" http://a.example/12345678/page-12345'
+    found = secret_scan.find_candidates(make_docs(spark, [(1, text)])).collect()
+    assert len(found) >= 5
+    for one in found:
+        assert one.before == text[max(0, one.start - secret_scan.CONTEXT) : one.start]
+
+
 def test_secret_scan_without_findings_to_learn_from(spark, edge_docs, no_docs):
     assert secret_scan.scan_secrets(no_docs).collect() == []
     docs = make_docs(spark, [(1, "ab12cd34ef56"), (2, None), (2, None)])
