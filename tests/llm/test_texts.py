@@ -296,6 +296,30 @@ def test_redaction(spark):
         assert texts[doc_id] == (text, len(text) if doc_id in secrets else None)
 
 
+ASSIGNED = [
+    ('password = "{}"', "correct-horse-battery"),
+    ("api_key={} x", "abcdefghijklmnopqrstuvwx"),
+    ('password="{}"', "P@ssw0rd!23"),
+    ('secret = "{}"', "aB3/dE5+gH7/jK9mN1pQ/sT4uV6wX8yZ0"),
+    ('pwd="{}"', "hunter2"),
+    ('db_password_2 = "{}"', "0f1e2d3c4b5a69788796a5b4c3d2e1f0"),
+    ("AWS_S3_SECRET_KEY={}", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzEXAMPLEKEY"),
+    ('"api-key-v2": "{}"', "Zx81kQ0pLm27vTr9sW3e"),
+]
+
+
+def test_values_assigned_to_credential_names_are_found_whole(spark):
+    rows, _ = secret_rows()
+    planted = [(1000 + i, f"{sentence(i, 8)} {form.format(value)} {sentence(50 + i, 8)}") for i, (form, value) in enumerate(ASSIGNED)]
+    clean = [(2000, "the secret: nobody knows it. author: Smith, tokens are 12 in a row"), (2001, sentence(3, 30))]
+    docs = make_docs(spark, [*rows, *planted, *clean])
+    found = {row.doc_id: row for row in secret_scan.scan_secrets(docs).collect()}
+    for (doc_id, text), (_, value) in zip(planted, ASSIGNED):
+        secrets = [(text[one.start : one.start + one.length], one.kind) for one in found[doc_id].secrets]
+        assert secrets == [(value, "credential")]
+    assert [found[doc_id].n_secrets for doc_id, _ in clean] == [0, 0]
+
+
 def test_words_before_a_candidate_reach_over_earlier_candidates(spark):
     text = 'x' * 60 + ' db_password_2 = "0f1e2d3c4b5a6978", next-secret-4="aB3/dE5+gH7/jK9mN1" http://a.example/12345678/page-12345'
     found = secret_scan.find_candidates(make_docs(spark, [(1, text)])).collect()
