@@ -38,7 +38,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secret_scan.redact_secrets(docs, length_col="n_chars")
+    """The detector of op9_secret_scan: it also learns from the addresses of ``pages``."""
+    addresses = queries.labelled_addresses(spark, sf_dir)
+    return secret_scan.redact_secrets(docs, length_col="n_chars", labelled_extra=addresses)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -328,6 +328,20 @@ def test_words_before_a_candidate_reach_over_earlier_candidates(spark):
         assert one.before == text[max(0, one.start - secret_scan.CONTEXT) : one.start]
 
 
+def test_secret_stage_redacts_planted_tokens_only(spark, sf_dir):
+    import corpus_pipeline
+
+    clean = [
+        (i, f"{sentence(i, 20)} 123e4567-e89b-12d3-a456-42661417400{i} file_{i}2345.txt v1.2.3-beta45 {sentence(90 + i, 9)}")
+        for i in range(9)
+    ]
+    tokens = [f"{i:02x}9f86d081884c7d659a2feaa0c55ad015a3bf4f" for i in range(40)]
+    planted = [(100 + i, f'{sentence(i, 20)} token = "{one}" {sentence(200 + i, 20)}') for i, one in enumerate(tokens)]
+    kept = corpus_pipeline.redact_secrets(spark, make_docs(spark, clean + planted), sf_dir).collect()
+    wanted = {doc_id: re.sub('"[0-9a-f]{40}"', '"[secret]"', text) for doc_id, text in clean + planted}
+    assert {row.doc_id: row.text for row in kept} == wanted
+
+
 def test_secret_scan_without_findings_to_learn_from(spark, edge_docs, no_docs):
     assert secret_scan.scan_secrets(no_docs).collect() == []
     docs = make_docs(spark, [(1, "ab12cd34ef56"), (2, None), (2, None)])

@@ -87,10 +87,15 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.drop("text_hash")
 
 
-def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labelled_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Settled findings in the addresses of ``pages``."""
     pages = secret_scan.find_candidates(read_table(spark, sf_dir, "pages"), "page_id", "url")
+    return secret_scan.labelled_findings(pages)
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(
-        read_table(spark, sf_dir, "documents"), labelled_extra=secret_scan.labelled_findings(pages)
+        read_table(spark, sf_dir, "documents"), labelled_extra=labelled_addresses(spark, sf_dir)
     ).drop("text_hash")
 
 
