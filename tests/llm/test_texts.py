@@ -94,6 +94,50 @@ def test_changed_repeated_and_absent_licenses():
     assert scanner.scan("License " * 500 + "under the of or") == []
 
 
+SIBLINGS = [
+    ("mit", "Released under the ISC License"),
+    ("mit", "Released under the Apache License"),
+    ("mit", "Released under the BSD License"),
+    ("mit", "Released under the MIT-0 License"),
+    ("mit", "Released under the MIT No Attribution License"),
+    ("bsd-3-clause", "Released under the BSD 2-Clause License"),
+    ("bsd-3-clause", "Released under the BSD 4-Clause License"),
+    ("bsd-3-clause", "Released under the BSD 3-Clause Clear License"),
+    ("cc-by-4.0", "Licensed under CC BY-ND 4.0"),
+    ("cc-by-4.0", "Licensed under CC BY-NC-ND 4.0"),
+    ("cc-by-4.0", "Licensed under CC BY 3.0"),
+    ("cc-by-nc-4.0", "Licensed under CC BY-NC-SA 4.0"),
+    ("cc-by-sa-4.0", "Licensed under CC BY-NC-SA 4.0"),
+    ("apache-2.0", "Licensed under the Apache License, Version 1.1"),
+    ("apache-2.0", "Licensed under the Educational Community License, Version 2.0"),
+    ("gpl-2.0", "This work is licensed under the GNU Library General Public License, version 2"),
+    ("gpl-2.0", "This work is licensed under the GNU General Public License v3"),
+    ("gpl-3.0", "This work is licensed under the GNU Affero General Public License, version 3"),
+    ("gpl-3.0", "This work is licensed under the GNU Lesser General Public License, version 3"),
+    ("lgpl-3.0", "This work is licensed under the GNU Lesser General Public License, version 2.1"),
+    ("gpl-3.0-header", licenses.TEMPLATES["gpl-3.0-header"].replace("GNU General", "GNU Affero General")),
+    ("gpl-3.0-header", licenses.TEMPLATES["gpl-3.0-header"].replace("GNU General", "GNU Lesser General")),
+    ("gpl-3.0-header", licenses.TEMPLATES["gpl-3.0-header"].replace("version 3", "version 2")),
+]
+
+
+@pytest.mark.parametrize("name,text", SIBLINGS)
+def test_siblings_are_not_taken_for_a_license(name, text):
+    assert name not in [one[0] for one in licenses.Scanner().scan(f"{sentence(1, 20)} {text} {sentence(2, 20)}")]
+
+
+def test_names_may_be_written_in_other_ways():
+    ways = [
+        ("bsd-3-clause", 'Released under the BSD 3-Clause "New" or "Revised" License'),
+        ("apache-2.0", "Licensed under the Apache Software License, Version 2.0"),
+        ("apache-2.0", "Licensed under the Apache License 2.0"),
+        ("gpl-3.0", "This work is licensed under the GNU General Public License (GPL), version 3"),
+        ("gpl-3.0", "This work is licensed under the GNU General Public License v3"),
+    ]
+    for name, text in ways:
+        assert [one[0] for one in licenses.Scanner().scan(text)] == [name]
+
+
 def test_license_scan_of_edge_rows(edge_docs, no_docs, spark):
     assert Counter(row.doc_id for row in licenses.scan_licenses(edge_docs).collect()) == Counter(
         row[0] for row in EDGE_ROWS

@@ -9,11 +9,15 @@ In a long text the places of the template's words are searched first for stretch
 hold enough of them; that is a necessary condition for the coverage asked for, so nothing
 is lost, and a license that a text holds several times is found each time.
 
+Coverage alone would take a sibling for a license, as names and versions are few words. So
+the words of ``NAMES`` must all be aligned, with none but ``HARMLESS`` words between them.
+
 Of findings that overlap, the one with more matched words stays, then the tighter one, then
 the first template.
 
 Defined results: null and empty texts have no finding. Repeated rows give their findings
-each. Words are runs of letters and digits, lower-cased. Other columns are not read.
+each. Words are runs of letters and digits, lower-cased, ``v3`` counts as ``3``. Other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -72,13 +76,34 @@ TEMPLATES = {
         "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
     ),
 }
+# What tells a template from its siblings: phrases of the template.
+NAMES = {
+    "apache-2.0": ("Apache License, Version 2.0",),
+    "apache-2.0-header": ("Apache License, Version 2.0",),
+    "bsd-3-clause": ("BSD 3-Clause License",),
+    "cc-by-4.0": ("CC BY 4.0",),
+    "cc-by-nc-4.0": ("CC BY-NC 4.0",),
+    "cc-by-sa-4.0": ("CC BY-SA 4.0",),
+    "gpl-2.0": ("GNU General Public License, version 2",),
+    "gpl-3.0": ("GNU General Public License, version 3",),
+    "gpl-3.0-header": ("GNU General Public License as published by the Free Software Foundation, either version 3",),
+    "lgpl-3.0": ("GNU Lesser General Public License, version 3",),
+    "mit": ("MIT License",),
+    "mpl-2.0": ("Mozilla Public License, v. 2.0",),
+}
+# Words that names are written with or without.
+HARMLESS = frozenset(
+    "license licence version v the new or revised software open source gpl lgpl agpl mpl as published by free foundation "
+    "either".split()
+)
 # ----------------------------------------------------------------------------
 
 _WORD = re.compile(r"[^\W_]+")
+_VERSION = re.compile(r"^v(?=[0-9]+$)")
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return [_VERSION.sub("", word) for word in _WORD.findall(text.lower())]
 
 
 def longest_increasing(values: list[int]) -> list[int]:
@@ -124,13 +149,30 @@ def patience_pairs(text: list[str], template: list[str]) -> list[tuple[int, int]
     return sorted(pairs)
 
 
+def _place(phrase: list[str], template: list[str]) -> range:
+    """Where a phrase stands first in its template."""
+    at = next(at for at in range(len(template)) if template[at : at + len(phrase)] == phrase)
+    return range(at, at + len(phrase))
+
+
 class Scanner:
     """Finds templates in texts."""
 
-    def __init__(self, templates: Mapping[str, str] = TEMPLATES, min_coverage: float = MIN_COVERAGE):
+    def __init__(
+        self,
+        templates: Mapping[str, str] = TEMPLATES,
+        min_coverage: float = MIN_COVERAGE,
+        names: Mapping[str, tuple[str, ...]] | None = None,
+    ):
+        if names is None:  # other templates have other names
+            names = NAMES if templates == TEMPLATES else {}
         self.templates = {name: words_of(text) for name, text in templates.items()}
         self.counts = {name: Counter(words) for name, words in self.templates.items()}
         self.needed = {name: -(-int(1000 * min_coverage) * len(words) // 1000) for name, words in self.templates.items()}
+        self.names = {
+            name: [_place(words_of(phrase), words) for phrase in names.get(name, ())]
+            for name, words in self.templates.items()
+        }
         self.vocabulary = {word for words in self.templates.values() for word in words}
 
     def scan(self, text: str) -> list[tuple[str, float, int, int, int]]:
@@ -148,6 +190,19 @@ class Scanner:
                 chosen.append(one)
         return sorted(chosen, key=lambda one: one[2])
 
+    def _is_named(self, name: str, text: list[str], pairs: list[tuple[int, int]]) -> bool:
+        """Whether the phrases of the template are aligned with no foreign word among them."""
+        template = self.templates[name]
+        place = {in_template: in_text for in_text, in_template in pairs}
+        for phrase in self.names[name]:
+            if any(at not in place and template[at] not in HARMLESS for at in phrase):
+                return False
+            places = {place[at] for at in phrase if at in place}
+            between = range(min(places), max(places))
+            if any(at not in places and text[at] not in HARMLESS for at in between):
+                return False
+        return True
+
     def _occurrences(self, name: str, words: list[str]) -> Iterator[tuple[str, float, int, int, int]]:
         template, counts, needed = self.templates[name], self.counts[name], self.needed[name]
         hits = [at for at, word in enumerate(words) if word in counts]
@@ -170,7 +225,7 @@ class Scanner:
                 continue
             first, end = hits[low], min(len(words), hits[low] + widest)
             pairs = patience_pairs(words[first:end], template)
-            if len(pairs) >= needed:
+            if len(pairs) >= needed and self._is_named(name, words[first:end], pairs):
                 start, stop = first + pairs[0][0], first + pairs[-1][0] + 1
                 yield name, len(pairs) / len(template), start, stop, len(pairs)
                 floor = stop
