@@ -126,6 +126,31 @@ def test_siblings_are_not_taken_for_a_license(name, text):
     assert name not in [one[0] for one in licenses.Scanner().scan(f"{sentence(1, 20)} {text} {sentence(2, 20)}")]
 
 
+def test_whole_license_texts():
+    scanner = licenses.Scanner()
+    bsd = licenses.TEMPLATES["bsd-3-clause-text"].replace("the copyright holder nor", "the University nor")
+    for number, start in enumerate(("Redistributions of", "Redistributions in", "Neither the name"), 1):
+        bsd = bsd.replace(start, f"{number}. {start}", 1)
+    two = licenses.TEMPLATES["bsd-2-clause-text"]
+    advertising = "3. All advertising materials must display the following acknowledgement: this product has software. "
+    four = bsd.replace("3. Neither", advertising + "4. Neither")
+    clear = two.replace("are permitted provided", "are permitted (subject to the limitations in the disclaimer below) provided")
+    full = licenses.TEMPLATES["mit-full-text"]
+    wanted = [
+        (bsd, ["bsd-3-clause-text"]),
+        (two, ["bsd-2-clause-text"]),
+        (four, []),
+        (clear, []),
+        (f"MIT License Copyright (c) 2020 me {full}", ["mit-full-text"]),
+        (licenses.TEMPLATES["isc-text"], ["isc-text"]),
+        (licenses.TEMPLATES["0bsd-text"], ["0bsd-text"]),
+        (licenses.TEMPLATES["mit-0-text"], ["mit-0-text"]),
+        (licenses.TEMPLATES["gpl-3.0-opening"].replace("29 June 2007", "19 November 2007"), []),
+    ]
+    for text, names in wanted:
+        assert [one[0] for one in scanner.scan(f"{sentence(1, 20)} {text} {sentence(2, 20)}")] == names
+
+
 def test_names_may_be_written_in_other_ways():
     ways = [
         ("bsd-3-clause", 'Released under the BSD 3-Clause "New" or "Revised" License'),

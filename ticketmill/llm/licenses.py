@@ -37,8 +37,122 @@ MIN_COVERAGE = 0.8
 STRETCH = 1.5
 
 # --- fixed values -----------------------------------------------------------
-# Notices of widely used licenses, in their usual wording.
+_SHARED_BSD_START = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution. "
+)
+_SHARED_BSD_END = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_ISC_END = (
+    'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL '
+    "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+    "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN "
+    "AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+    "PERFORMANCE OF THIS SOFTWARE."
+)
+_MIT_GRANT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    'documentation files (the "Software"), to deal in the Software without restriction, including without '
+    "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+    "Software, and to permit persons to whom the Software is furnished to do so"
+)
+_MIT_NOTICE = (
+    ", subject to the following conditions: The above copyright notice and this permission notice shall be included in "
+    "all copies or substantial portions of the Software."
+)
+_MIT_END = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+    "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+    "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+    "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_VERBATIM = "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."
+_FSF_STREET = "Free Software Foundation, Inc. 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA "
+_FSF_SITE = "Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/> "
+# Notices of widely used licenses, in their usual wording; whole texts of the short ones (``-text``) and the opening of
+# the long ones (``-opening``).
 TEMPLATES = {
+    "0bsd-text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted. " + _ISC_END
+    ),
+    "agpl-3.0": "This work is licensed under the GNU Affero General Public License, version 3",
+    "agpl-3.0-opening": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007 Free Software "
+    "Foundation, Inc. <https://fsf.org/> " + _VERBATIM,
+    "apache-2.0-opening": (
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, "
+        "REPRODUCTION, AND DISTRIBUTION"
+    ),
+    "bsd-2-clause": "Released under the BSD 2-Clause License",
+    "bsd-2-clause-text": _SHARED_BSD_START + _SHARED_BSD_END,
+    "bsd-3-clause-text": (
+        _SHARED_BSD_START + "Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written permission. "
+        + _SHARED_BSD_END
+    ),
+    "cc-by-nc-nd-4.0": "Licensed under CC BY-NC-ND 4.0",
+    "cc-by-nc-sa-4.0": "Licensed under CC BY-NC-SA 4.0",
+    "cc-by-nd-4.0": "Licensed under CC BY-ND 4.0",
+    "cc0-1.0-opening": (
+        "CC0 1.0 Universal CREATIVE COMMONS CORPORATION IS NOT A LAW FIRM AND DOES NOT PROVIDE LEGAL SERVICES. "
+        "DISTRIBUTION OF THIS DOCUMENT DOES NOT CREATE AN ATTORNEY-CLIENT RELATIONSHIP."
+    ),
+    "epl-2.0-opening": (
+        "Eclipse Public License - v 2.0 THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE "
+        '("AGREEMENT"). ANY USE, REPRODUCTION OR DISTRIBUTION OF THE PROGRAM CONSTITUTES RECIPIENT\'S ACCEPTANCE OF THIS '
+        "AGREEMENT."
+    ),
+    "gpl-2.0-opening": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 " + _FSF_STREET + _VERBATIM,
+    "gpl-3.0-opening": "GNU GENERAL PUBLIC LICENSE " + _FSF_SITE + _VERBATIM,
+    "isc": "Released under the ISC License",
+    "isc-text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. " + _ISC_END
+    ),
+    "lgpl-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1",
+    "lgpl-2.1-opening": (
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999 Copyright (C) 1991, 1999 " + _FSF_STREET + _VERBATIM
+    ),
+    "lgpl-3.0-opening": "GNU LESSER GENERAL PUBLIC LICENSE " + _FSF_SITE + _VERBATIM,
+    "mit-0-text": _MIT_GRANT + ". " + _MIT_END,
+    "mit-full-text": _MIT_GRANT + _MIT_NOTICE + " " + _MIT_END,
+    "mpl-2.0-opening": (
+        'Mozilla Public License Version 2.0 1. Definitions 1.1. "Contributor" means each individual or legal entity that '
+        "creates, contributes to the creation of, or owns Covered Software."
+    ),
+    "unlicense-text": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+        "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the "
+        "author or authors of this software dedicate any and all copyright interest in the software to the public domain. "
+        "We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. "
+        "We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to "
+        'this software under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR '
+        "IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+        "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN "
+        "ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+        "DEALINGS IN THE SOFTWARE."
+    ),
+    "zlib-text": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+        "for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+        "following restrictions: The origin of this software must not be misrepresented; you must not claim that you wrote "
+        "the original software. If you use this software in a product, an acknowledgment in the product documentation would "
+        "be appreciated but is not required. Altered source versions must be plainly marked as such, and must not be "
+        "misrepresented as being the original software. This notice may not be removed or altered from any source "
+        "distribution."
+    ),
     "apache-2.0": "Licensed under the Apache License, Version 2.0",
     "apache-2.0-header": (
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
@@ -78,6 +192,39 @@ TEMPLATES = {
 }
 # What tells a template from its siblings: phrases of the template.
 NAMES = {
+    "0bsd-text": ("is hereby granted. THE SOFTWARE IS PROVIDED",),
+    "agpl-3.0": ("GNU Affero General Public License, version 3",),
+    "agpl-3.0-opening": ("GNU AFFERO GENERAL PUBLIC LICENSE Version 3",),
+    "apache-2.0-opening": ("Apache License Version 2.0",),
+    "bsd-2-clause": ("BSD 2-Clause License",),
+    "bsd-2-clause-text": (
+        "are permitted provided that the following conditions",
+        "provided with the distribution. THIS SOFTWARE IS PROVIDED BY",
+    ),
+    "bsd-3-clause-text": (
+        "are permitted provided that the following conditions",
+        "provided with the distribution. Neither the name of",
+        "may be used to endorse or promote products derived from this software",
+        "specific prior written permission. THIS SOFTWARE IS PROVIDED BY",
+    ),
+    "cc-by-nc-nd-4.0": ("CC BY-NC-ND 4.0",),
+    "cc-by-nc-sa-4.0": ("CC BY-NC-SA 4.0",),
+    "cc-by-nd-4.0": ("CC BY-ND 4.0",),
+    "cc0-1.0-opening": ("CC0 1.0 Universal",),
+    "epl-2.0-opening": ("Eclipse Public License - v 2.0",),
+    "gpl-2.0-opening": ("GNU GENERAL PUBLIC LICENSE Version 2, June 1991",),
+    "gpl-3.0-opening": ("GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",),
+    "isc": ("ISC License",),
+    "isc-text": ("provided that the above copyright notice and this permission notice appear in all copies",),
+    "lgpl-2.1": ("GNU Lesser General Public License, version 2.1",),
+    "lgpl-2.1-opening": ("GNU LESSER GENERAL PUBLIC LICENSE Version 2.1",),
+    "lgpl-3.0-opening": ("GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",),
+    "mit-0-text": ("is furnished to do so. THE SOFTWARE IS PROVIDED",),
+    "mit-full-text": (
+        "is furnished to do so, subject to the following conditions",
+        "portions of the Software. THE SOFTWARE IS PROVIDED",
+    ),
+    "mpl-2.0-opening": ("Mozilla Public License Version 2.0",),
     "apache-2.0": ("Apache License, Version 2.0",),
     "apache-2.0-header": ("Apache License, Version 2.0",),
     "bsd-3-clause": ("BSD 3-Clause License",),
@@ -96,6 +243,8 @@ HARMLESS = frozenset(
     "license licence version v the new or revised software open source gpl lgpl agpl mpl as published by free foundation "
     "either".split()
 )
+# Numbers that the clauses of a whole text may have.
+ENUMERATORS = frozenset("1 2 3 4 a b c d i ii iii iv".split())
 # ----------------------------------------------------------------------------
 
 _WORD = re.compile(r"[^\W_]+")
@@ -194,12 +343,13 @@ class Scanner:
         """Whether the phrases of the template are aligned with no foreign word among them."""
         template = self.templates[name]
         place = {in_template: in_text for in_text, in_template in pairs}
+        harmless = HARMLESS | ENUMERATORS if name.endswith("-text") else HARMLESS
         for phrase in self.names[name]:
-            if any(at not in place and template[at] not in HARMLESS for at in phrase):
+            if any(at not in place and template[at] not in harmless for at in phrase):
                 return False
             places = {place[at] for at in phrase if at in place}
             between = range(min(places), max(places))
-            if any(at not in places and text[at] not in HARMLESS for at in between):
+            if any(at not in places and text[at] not in harmless for at in between):
                 return False
         return True
 
@@ -225,6 +375,10 @@ class Scanner:
                 continue
             first, end = hits[low], min(len(words), hits[low] + widest)
             pairs = patience_pairs(words[first:end], template)
+            if pairs and pairs[0][0]:  # a stray word before must not shorten the stretch at its end
+                first += pairs[0][0]
+                end = min(len(words), first + widest)
+                pairs = patience_pairs(words[first:end], template)
             if len(pairs) >= needed and self._is_named(name, words[first:end], pairs):
                 start, stop = first + pairs[0][0], first + pairs[-1][0] + 1
                 yield name, len(pairs) / len(template), start, stop, len(pairs)
