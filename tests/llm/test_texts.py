@@ -210,6 +210,18 @@ def test_shared_passages_share_a_fingerprint():
         assert len(np.intersect1d(a.distinct, b.distinct))
 
 
+def test_short_texts_are_like_their_edited_copies():
+    for seed in range(20):
+        text, other = sentence(seed, 60), sentence(100 + seed, 60).upper()
+        for length in [*range(4, 60), 200]:
+            own = winnowing.Fingerprint(text[:length])
+            edited = winnowing.Fingerprint(winnowing.edited_text(text[:length], other))
+            assert 0 < own.likeness(edited) <= 1 and own.likeness(edited) == edited.likeness(own)
+            assert length > 51 or own.likeness(edited) < 1
+            assert own.likeness(winnowing.Fingerprint(text[:length])) == 1
+            assert own.likeness(winnowing.Fingerprint("")) == own.likeness(winnowing.Fingerprint("0" * length)) == 0
+
+
 def test_chain_of_edge_rows(edge_docs):
     found = winnowing.fingerprint_chain(edge_docs).collect()
     assert Counter(row.doc_id for row in found) == Counter(row[0] for row in EDGE_ROWS)

@@ -6,6 +6,12 @@ texts that share any run of ``gram + window - 1`` code points share a chosen has
 nothing shorter than ``gram`` is ever matched. Likeness is the Jaccard index of the chosen
 hashes.
 
+Three quarters of a short text may hold no run of ``gram + window - 1``. The likeness of two such
+texts is the Jaccard index of all their runs of a quarter of the shorter one's length, at
+least one code point and at most ``gram``; so a text is like a copy of three quarters of it at every
+length. What a few code points have in common by chance counts there, too. Their fingerprints
+are made like any others.
+
 ``fingerprint_chain`` also compares each document with the next one in ascending id, and
 with an edited text made from both. For that the texts are dealt out once by ranges of ids;
 the document that begins a range is sent to the range before it as well, and the very first
@@ -72,13 +78,19 @@ class Fingerprint:
         self.positions = winnow(hashes, window)
         self.hashes = hashes[self.positions]
         self.distinct = np.unique(self.hashes)
+        self.gram = gram
+        self.short = text if 0 < len(text) - len(text) // 4 < gram + window - 1 else None
 
     def digest(self) -> str:
         return hashlib.sha256(self.positions.astype("<i8").tobytes() + self.hashes.astype("<u8").tobytes()).hexdigest()
 
     def likeness(self, other: Fingerprint) -> float:
-        shared = len(np.intersect1d(self.distinct, other.distinct, assume_unique=True))
-        either = len(self.distinct) + len(other.distinct) - shared
+        own, others = self.distinct, other.distinct
+        if self.short and other.short:
+            gram = max(1, min(self.gram, min(len(self.short), len(other.short)) // 4))
+            own, others = (np.unique(gram_hashes(text, gram)) for text in (self.short, other.short))
+        shared = len(np.intersect1d(own, others, assume_unique=True))
+        either = len(own) + len(others) - shared
         return shared / either if either else 1.0
 
 
