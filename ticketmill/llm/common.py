@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ticketmill.session import scratch_dir
 
@@ -28,7 +29,9 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def arrow_map(
-    frame: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    frame: DataFrame,
+    function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str | StructType,
 ) -> DataFrame:
     """``mapInArrow`` with batches bounded in rows and bytes (session settings, as Spark has no other place for them)."""
     workers = frame.sparkSession.sparkContext.environment

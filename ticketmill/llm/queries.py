@@ -10,17 +10,21 @@ from pyspark.sql import functions as F
 
 from ticketmill.llm import (
     byte_bpe,
+    conversation_trie,
     exact_dedup,
+    fill_in_middle,
     language_id,
     licenses,
     packing,
     quality,
+    quality_rules,
     secret_scan,
     simhash,
     substring_dedup,
     winnowing,
 )
 from ticketmill.llm.common import read_table, text_crc, written
+from ticketmill.llm.oracle import CONVERSATION_TRIE_SQL, FILL_IN_MIDDLE_SQL, QUALITY_RULES_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +33,9 @@ SHINGLE_WORDS = 3
 FINGERPRINT_BITS = 2
 WINDOW_WORDS = 35
 GOOD_SCORE = 0.3
+# Conversations come in families of this size; a member takes fewer than so many opening turns from the first.
+FAMILY_SIZE = 100
+OPENING_TURNS = 6
 
 
 def held_out(docs: DataFrame, parts: int, part: int):
@@ -107,6 +114,34 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    filled = fill_in_middle.restore(fill_in_middle.transform(read_table(spark, sf_dir, "documents")))
+    return filled.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations")
+    conv_id = F.col("conv_id")
+    sequences = written(conversation_trie.turn_sequences(conversations), "conversations")
+    rebuilt = conversation_trie.graft_openings(
+        sequences, conv_id - conv_id % FAMILY_SIZE, text_crc(conv_id) % OPENING_TURNS, OPENING_TURNS - 1
+    )
+    return conversation_trie.prefix_trie(rebuilt)
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.apply_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
+
+
 def queries() -> dict[str, Query]:
     operators = (
         op1_language_id,
@@ -119,6 +154,9 @@ def queries() -> dict[str, Query]:
         op8_quality,
         op9_secret_scan,
         op10_byte_bpe,
+        op11_fill_in_middle,
+        op12_conversation_trie,
+        op13_quality_rules,
     )
     return {operator.__name__: operator for operator in operators}
 
@@ -137,4 +175,9 @@ SELECT doc_id, keep_id, group_size, nth = 1 AS kept, text_sha256 FROM grouped
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": EXACT_DEDUP_SQL}
+    return {
+        "op3_exact_dedup": EXACT_DEDUP_SQL,
+        "op11_fill_in_middle": FILL_IN_MIDDLE_SQL,
+        "op12_conversation_trie": CONVERSATION_TRIE_SQL,
+        "op13_quality_rules": QUALITY_RULES_SQL,
+    }
