@@ -99,6 +99,40 @@ def test_cache_keeps_results_when_it_is_full():
         assert b"".join(cache.encode(text)) == text.encode()
 
 
+TOKENIZER = Tokenizer.from_file(JSON_PATH)
+PACKING_ENCODER = packing.TextEncoder(JSON_PATH)
+
+
+def piece_ids(text):
+    return np.frombuffer(b"".join(PACKING_ENCODER.encode(text)), dtype="<u4").tolist()
+
+
+@pytest.mark.parametrize("text", [*ODD_TEXTS, "a<|endoftext|>b c", "x.\n\nY's  'll we'LL 12a3 ½Ⅷ ª", "Ġ Ċ\tĠa", "don't.\n 'Tis"])
+def test_pieces_have_the_tokenizers_ids(text):
+    assert piece_ids(text) == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=400, deadline=None)
+@given(
+    st.text(alphabet=st.characters(codec="utf-8"))
+    | st.text(alphabet=" ab'st\n\t!1é　\x85\x1cĠ<|>")
+    | st.text(alphabet=st.characters(max_codepoint=0x24F) | st.sampled_from(" \n'") | st.characters(min_codepoint=0x2010, max_codepoint=0x2030))
+)
+def test_pieces_of_any_text_have_the_tokenizers_ids(text):
+    assert piece_ids(text) == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
+def test_each_usual_character_is_treated_as_the_tokenizer_does():
+    for one in map(chr, [*range(0x250), *range(0x2000, 0x2070)]):
+        text = f"a{one}b {one} {one}{one}1{one}\n{one}\n\n {one}"
+        assert piece_ids(text) == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
+def test_other_kinds_of_tokenizers_are_refused():
+    with pytest.raises(ValueError, match="byte-level"):
+        packing.TextEncoder(public_tokenizers.path("word_bpe_49k.json"))
+
+
 def test_digests_of_edge_rows(edge_docs):
     found = Counter(
         tuple(row) for row in byte_bpe.bpe_digests(edge_docs, RANKS_PATH, public_tokenizers.PATTERN).collect()

@@ -19,6 +19,9 @@ one. Other columns are not read. An empty table gives no rows.
 
 from __future__ import annotations
 
+import json
+import re
+import struct
 import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
@@ -29,24 +32,90 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketmill.llm.chunks import PieceCache
+from ticketmill.llm.chunks import Memo, PieceCache
 from ticketmill.llm.common import arrow_map, as_texts, id_and_text, written
 
 CLOSING_ID = 0
 # Pieces per numbering bucket, about.
 BUCKET_PIECES = 4_096
 MIN_BUCKETS = 512
+# Remembered matches and pieces per Python worker, of some 170 bytes each.
+KNOWN_MATCHES = 600_000
+KNOWN_PIECES = 200_000
+# Packers of few ids.
+_PACKERS = [struct.Struct(f"<{ids}I").pack for ids in range(32)]
+
+# Characters of which the splitter's pattern treats the first as letters, ASCII digits as
+# digits, space and line end as white space, and the other ones as none of these.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_USUAL = re.compile(rf"[ -~\n{_LETTERS}¡-©«¬®-±´¶-¸»¿×÷‐-‧]*").fullmatch
+# What the pattern matches in texts of these characters only.
+_MATCHES = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^ \n0-9{_LETTERS}]+|[ \n]+(?![^ \n])|[ \n]+"
+).findall
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary, by the byte's Latin-1 character.
+
+    Printable ones stand for themselves, the others for the characters from 256 on.
+    """
+    printable = {*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)}
+    others = [byte for byte in range(256) if byte not in printable]
+    return {byte: chr(256 + at) for at, byte in enumerate(others)}
+
+
+class TextEncoder:
+    """Encodes texts as the tokenizer does; ids of matches and pieces are remembered.
+
+    Texts of usual characters are split into the matches of the tokenizer's pattern here,
+    others at spaces and then by the tokenizer's own splitter. What isn't known yet goes
+    through its model. A piece with an added token's text is left to the tokenizer whole.
+    """
+
+    def __init__(self, tokenizer_path: str):
+        from tokenizers import Tokenizer
+
+        self._tokenizer = Tokenizer.from_file(tokenizer_path)
+        parts = json.loads(self._tokenizer.to_str())
+        splitter = parts["pre_tokenizer"] or {}
+        plain = splitter.get("type") == "ByteLevel" and splitter.get("use_regex") and not splitter.get("add_prefix_space")
+        if not plain or parts["normalizer"] or parts["model"].get("dropout"):
+            raise ValueError("Texts are cut at spaces: this needs a byte-level tokenizer without normalizer or dropout")
+        self._added = [token["content"] for token in parts["added_tokens"]]
+        self._split = self._tokenizer.pre_tokenizer.pre_tokenize_str
+        self._model = self._tokenizer.model.tokenize
+        self._bytes = _byte_characters()
+        self._matches = Memo(self._match_ids, KNOWN_MATCHES)
+        self._pieces = PieceCache(self._piece_ids, KNOWN_PIECES)
+
+    def encode(self, text: str) -> list[bytes]:
+        """Ids of the text's parts, in order, little-endian."""
+        if _USUAL(text) and not any(token in text for token in self._added):
+            return self._matches.of(_MATCHES(text))
+        return self._pieces.encode(text)
+
+    def _model_ids(self, mapped: str) -> bytes:
+        ids = [token.id for token in self._model(mapped)]
+        return _PACKERS[len(ids)](*ids) if len(ids) < len(_PACKERS) else struct.pack(f"<{len(ids)}I", *ids)
+
+    def _match_ids(self, match: str) -> bytes:
+        if match.isascii() and match[1:].isalpha():
+            return self._model_ids("Ġ" + match[1:] if match[0] == " " else match)
+        return self._model_ids(match.encode().decode("latin-1").translate(self._bytes))
+
+    def _piece_ids(self, piece: str) -> bytes:
+        if piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()):
+            return self._match_ids(piece)
+        if any(token in piece for token in self._added):
+            return np.array(self._tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return b"".join(self._model_ids(match) for match, _ in self._split(piece))
 
 
 @lru_cache(maxsize=2)
-def worker_cache(tokenizer_path: str) -> PieceCache:
+def worker_encoder(tokenizer_path: str) -> TextEncoder:
     """One tokenizer and its memory per Python worker."""
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(tokenizer_path)
-    return PieceCache(
-        lambda piece: np.array(tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
-    )
+    return TextEncoder(tokenizer_path)
 
 
 def cut_documents(
@@ -55,12 +124,12 @@ def cut_documents(
     """The pieces of every document: doc_id, piece, start, length, ids_crc32."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = worker_cache(tokenizer_path)
+        encoder = worker_encoder(tokenizer_path)
         closing = np.array([CLOSING_ID], dtype="<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), as_texts(batch.column("text"))):
-                ids = b"".join([*cache.encode(text), closing])
+                ids = b"".join([*encoder.encode(text), closing])
                 size = len(ids) // 4
                 first = size % capacity or capacity
                 borders = [0, *range(first, size + 1, capacity)]
