@@ -33,15 +33,19 @@ def arrow_map(
     function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
     schema: str | StructType,
 ) -> DataFrame:
-    """``mapInArrow`` with batches bounded in rows and bytes (session settings, as Spark has no other place for them)."""
-    workers = frame.sparkSession.sparkContext.environment
+    """``mapInArrow`` with batches bounded in rows and bytes."""
+    prepare_workers(frame.sparkSession)
+    return frame.mapInArrow(function, schema)
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Bounds Arrow batches (session settings, as Spark has no other place for them) and lets workers import this package."""
+    workers = spark.sparkContext.environment
     if PACKAGE_ROOT not in workers.get("PYTHONPATH", ""):
-        # Lets workers import this package where it isn't installed or shipped with --py-files.
+        # For where it isn't installed or shipped with --py-files.
         workers["PYTHONPATH"] = ":".join(filter(None, [workers.get("PYTHONPATH"), PACKAGE_ROOT]))
-    conf = frame.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return frame.mapInArrow(function, schema)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def written(frame: DataFrame, label: str) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketmill.llm.common import written
+from ticketmill.llm.named_rows import whole_row
 
 # A bitmap block of Spark's bitmap functions has 4,096 bytes.
 BLOCK_BITS = 32_768
@@ -144,7 +145,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     sorted_out, bitmaps, cells = _sorted_out(docs, id_col, text_col)
     _, groups = _members_and_groups(sorted_out)
     rows = docs.select(
-        F.struct(*docs.columns).alias("row"),
+        whole_row(docs),
         F.col(id_col).cast("long").alias("doc_id"),
         text_digest(F.col(text_col)).alias("text_sha256"),
     )
@@ -161,4 +162,4 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         .dropDuplicates(["text_sha256", "doc_id"])
         .select("row.*")
     )
-    return alone.unionByName(kept)
+    return alone.union(kept)

@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketmill.llm.common import arrow_map, as_bytes, id_and_text
+from ticketmill.llm.common import arrow_map, as_bytes, id_and_text, prepare_workers
+from ticketmill.llm.named_rows import whole_row
 
 # Shares of the pooled covariance and of the diagonal in a class's covariance.
 POOLED_SHARE = 0.1
@@ -209,3 +210,21 @@ def score(described: DataFrame, model: QualityModel) -> DataFrame:
     return arrow_map(
         described.select("doc_id", "text_hash", "statistics"), apply, "doc_id long, text_hash long, score double"
     )
+
+
+def keep_scored(docs: DataFrame, model: QualityModel, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has at least this score, with all their columns.
+
+    Each row is scored and kept or not by itself: null and empty texts have a score like any
+    other, rows that repeat a text go together, an empty table stays empty, and no column is
+    added, so none can clash.
+    """
+    prepare_workers(docs.sparkSession)
+
+    @F.arrow_udf("double")
+    def score_of(texts: pa.Array) -> pa.Array:
+        rows = np.array([statistics(text) for text in as_bytes(texts)], dtype=float).reshape(-1, len(STATISTICS))
+        return pa.array(model.scores(rows), pa.float64())
+
+    scored = docs.select(whole_row(docs), score_of(F.col(text_col)).alias("score"))
+    return scored.where(F.col("score") >= least).select("row.*")

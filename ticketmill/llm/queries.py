@@ -75,11 +75,17 @@ def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.fingerprint_chain(read_table(spark, sf_dir, "documents"))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, text_hash, held_out, score, predicted; learned from labels that aren't held out."""
+def quality_model(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, quality.QualityModel]:
+    """The statistics of ``docs``, and the classifier learned from their labels that aren't held out."""
     described = written(quality.describe(docs), "statistics")
     learned = labels.where(~held_out(labels, 5, 0))
-    scored = quality.score(described, quality.train(described, learned, "doc_id", "quality"))
+    return described, quality.train(described, learned, "doc_id", "quality")
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Per row of ``docs``: doc_id, text_hash, held_out, score, predicted; learned from labels that aren't held out."""
+    described, model = quality_model(docs, labels)
+    scored = quality.score(described, model)
     return scored.select(
         "doc_id",
         "text_hash",

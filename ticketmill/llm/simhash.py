@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from ticketmill.llm.common import arrow_map, as_bytes, id_and_text, written
 from ticketmill.llm.components import connected_components
+from ticketmill.llm.named_rows import named_apart
 
 # The binary Golay code of 23 bits, 12 of them free, as multiples of its
 # generator x^11 + x^9 + x^7 + x^6 + x^5 + x + 1; perfect with radius 3.
@@ -185,7 +186,12 @@ def near_duplicates(
 def drop_near_duplicates(
     docs: DataFrame, shingle: int = 3, threshold: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one of each component."""
+    """The rows of ``docs`` that stay, with all their columns: one of each component.
+
+    That is the row with the smallest id, null ids last; of equal ids, the one with the
+    smaller hash of its text; of rows that repeat both, any one. Rows without words are one
+    component. An empty table stays empty.
+    """
     hashed = fingerprints(docs, shingle, id_col, text_col)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
     # Equal rows of an id and a text become one with their number.
@@ -202,14 +208,14 @@ def drop_near_duplicates(
         .agg(F.min("least").alias("least"))
         .select(F.col("least.doc_id").alias("__id"), F.col("least.text_hash").alias("__text"), F.lit(True).alias("__stays"))
     )
-    # Only rows that go, and those of which one stays, are named; all others pass straight through.
+    # Only rows that go, and those of which one stays, are named; all others pass by unshuffled.
     named = written(
         rows.join(stays, F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__text") == F.col("text_hash")), "left")
         .where("__stays is null or rows > 1")
-        .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"), "__stays"),
+        .select("doc_id", "text_hash", F.coalesce("__stays", F.lit(False)).alias("stays")),
         "named",
     )
-    same = F.col("__id").eqNullSafe(docs[id_col].cast("long")) & (F.col("__text") == F.xxhash64(docs[text_col]))
-    alone = docs.join(named.drop("__stays"), same, "left_anti")
-    one_of_each = docs.join(named.where("__stays"), same).dropDuplicates(["__id", "__text"]).select(*docs.columns)
-    return alone.unionByName(one_of_each)
+    unnamed, met = named_apart(docs, named, id_col, text_col)
+    false_alarms = met.where("found is null").select("row.*")
+    one_of_each = met.where("found.stays").dropDuplicates(["doc_id", "text_hash"]).select("row.*")
+    return unnamed.union(false_alarms).union(one_of_each)
