@@ -10,9 +10,8 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ticketmill.llm import exact_dedup, packing, queries, secret_scan, simhash
+from ticketmill.llm import exact_dedup, packing, quality, queries, secret_scan, simhash
 from ticketmill.llm.common import read_table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -21,19 +20,19 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go; it learns from the labels of these documents.
 
-    A document is told by its id and its text: others that share its id, or lack one as it does, have their own score.
+    Each row is judged by its own text, whatever its id; see ``quality.keep_scored``.
     """
-    scores = queries.quality_scores(docs, read_table(spark, sf_dir, "labels"))
-    gone = scores.where("predicted = 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"))
-    same = F.col("__id").eqNullSafe(docs["doc_id"].cast("long")) & (F.col("__text") == F.xxhash64(docs["text"]))
-    return docs.join(written(gone.distinct(), "rejected"), same, "left_anti")
+    _, model = queries.quality_model(docs, read_table(spark, sf_dir, "labels"))
+    return quality.keep_scored(docs, model, queries.GOOD_SCORE)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal texts stays, that with the smallest id; null counts as empty, null ids come last."""
     return exact_dedup.drop_exact_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each component of near copies stays; see ``simhash.drop_near_duplicates``."""
     return simhash.drop_near_duplicates(docs, queries.SHINGLE_WORDS, queries.FINGERPRINT_BITS)
 
 
@@ -44,6 +43,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every row, null texts as empty ones, in sequences; an empty table gives none."""
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), queries.SEQUENCE_LENGTH)
 
 
