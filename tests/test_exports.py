@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import ticketmill.sinks.exports as exports
 from ticketmill import operators as ops
 from ticketmill.sinks import EXPORTS, BatchExporter, LostCheckpointError, read_export, read_totals
+from ticketmill.sinks.runs import Run, due
 
 # One recorded micro-batch of 60 tickets, as counts per type and per priority.
 GOLDEN_TYPES = [
@@ -143,19 +144,57 @@ def test_readers_keep_what_they_opened(spark, batches, tmp_path, mode):
     assert dict(rows(totals)) == dict(Counter(r.client_id for r in batches[0].collect()))
 
 
-def test_a_batch_of_one_client_rewrites_one_part(spark, tmp_path):
-    clients = [f"CLI-{i}" for i in range(200)]
+def bytes_of(folder):
+    return sum(path.stat().st_size for path in folder.rglob("*.parquet"))
+
+
+def test_a_batch_writes_little_of_the_totals(spark, tmp_path):
+    """Batches of 1 % of a million clients write under 5 % of the table, and totals stay right."""
     exporter = BatchExporter(str(tmp_path), mode="cumulative")
-    everyone = batch_of(spark, ["autre"] * 200, ["low"] * 200, clients)
-    exporter(everyone, 0)
-    one = batch_of(spark, ["autre"] * 3, ["low"] * 3, ["CLI-7"] * 3)
-    exporter(one, 1)
-    assert len(list((tmp_path / "_rollup" / "sequence=0").glob("bucket=*"))) > 20
-    assert len(list((tmp_path / "_rollup" / "sequence=1").glob("bucket=*"))) == 2
-    assert snapshot(spark, str(tmp_path)) == expected_exports([everyone, one])
-    assert dict(rows(read_totals(spark, str(tmp_path), "by_client"))) == {
-        client: 4 if client == "CLI-7" else 1 for client in clients
-    }
+    client = F.concat(F.lit("CLI-"), F.col("id").cast("string"))
+    many = spark.range(0, 1_000_000, 1, 8).select(
+        client.alias("client_id"), F.lit("autre").alias("request_type"), F.lit("low").alias("priority"),
+        F.lit(None).cast("timestamp").alias("created_at"), F.lit("Support General").alias("assigned_team"),
+    )
+    exporter(many, 0)
+    store = tmp_path / "_rollup"
+    table, before = bytes_of(store), bytes_of(store)
+    for number in range(1, 8):
+        exporter(many.filter(F.crc32(F.encode("client_id", "utf-8")) % 100 == number % 3), number)
+        after = bytes_of(store)
+        assert 0 < after - before < 0.05 * table
+        before = after
+    found = read_totals(spark, str(tmp_path), "by_client")
+    share = F.crc32(F.encode("client_id", "utf-8")) % 100
+    wanted = F.when(share == 0, 3).when(share == 1, 4).when(share == 2, 3).otherwise(1)
+    assert found.count() == 1_000_000
+    assert found.filter(F.col("ticket_count") != wanted).count() == 0
+    top = read_export(spark, str(tmp_path), "agg_top_clients")
+    assert rows(top) == rows(found.orderBy(F.desc("ticket_count"), "client_id").limit(10))
+
+
+def test_runs_stay_few(spark, tmp_path):
+    """Merging keeps up: no part has more runs than there are parts and a few, and old runs are removed."""
+    clients = [f"CLI-{i}" for i in range(40)]
+    exporter = BatchExporter(str(tmp_path), mode="cumulative", retention_seconds=0)
+    batch = batch_of(spark, ["autre"] * 40, ["low"] * 40, clients)
+    for number in range(12):
+        exporter(batch, number)
+        (last,) = exports._all_published(spark, str(tmp_path))[-1:]
+        assert sum(map(len, last.runs.values())) <= (number + 1) * len(last.runs) - number
+    assert dict(rows(read_totals(spark, str(tmp_path), "by_client"))) == dict.fromkeys(clients, 12)
+    named = {f"run={run.number}" for of_part in last.runs.values() for run in of_part}
+    assert named <= set(os.listdir(tmp_path / "_rollup"))
+    assert len(os.listdir(tmp_path / "_rollup")) <= len(named) + 2
+
+
+@pytest.mark.parametrize(
+    "sizes, merged", [([5], 1), ([100, 5], 1), ([10, 5], 2), ([100, 10, 5], 2), ([20, 9, 5], 3), ([1, 1, 1, 1], 4)]
+)
+def test_due_runs(sizes, merged):
+    assert due([Run(at, size) for at, size in enumerate(sizes)]) == [
+        Run(at, size) for at, size in enumerate(sizes)
+    ][-merged:]
 
 
 @pytest.mark.parametrize("mode", ["last_batch", "cumulative"])
@@ -186,8 +225,8 @@ def test_crash_between_targets(spark, batches, tmp_path, mode, monkeypatch):
 def test_empty_batch_publishes_nothing(spark, batches, tmp_path):
     exporter = BatchExporter(str(tmp_path))
     exporter(batches[0].limit(0), 0)
-    with pytest.raises(FileNotFoundError):
-        read_export(spark, str(tmp_path), "agg_by_type")
+    assert snapshot(spark, str(tmp_path)) == {name: [] for name in EXPORTS}
+    assert rows(read_totals(spark, str(tmp_path), "by_client")) == []
     exporter(batches[0], 1)
     exporter(batches[0].limit(0), 2)
     assert snapshot(spark, str(tmp_path)) == expected_exports(batches[:1])

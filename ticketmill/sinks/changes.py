@@ -61,14 +61,17 @@ def _schema(*keys: str) -> str:
 def read_changes(spark: SparkSession, path: str, *keys: str) -> DataFrame:
     """The log itself, compacted days included."""
     schema = _schema(*keys)
-    log = spark.read.schema(schema).parquet(path)
-    try:
-        compacted = spark.read.schema(schema).parquet(f"{path}/_compacted")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return log
-        raise
-    return log.unionByName(compacted.select(*log.columns))
+
+    def rows_of(folder: str) -> DataFrame:
+        try:
+            return spark.read.schema(schema).parquet(folder)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return spark.createDataFrame([], schema)  # nothing has been logged, or compacted, so far
+            raise
+
+    log = rows_of(path)
+    return log.unionByName(rows_of(f"{path}/_compacted").select(*log.columns))
 
 
 def latest_counts(

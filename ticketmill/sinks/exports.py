@@ -1,7 +1,7 @@
 """The per-micro-batch exports: four Parquet targets and two JSON targets.
 
-One pass over the batch writes a small rollup table; all targets are written from
-it. Each published micro-batch has folders of its own, numbered in sequence, and one
+One pass over the batch writes its rollup as a run of changes (see ``runs``); all targets
+are written from it, or from the totals of all runs. Each published micro-batch has folders of its own, numbered in sequence, and one
 row in ``_published`` makes them visible once every target is complete. So a crash
 never shows targets of different batches, and a reader keeps what it opened: folders
 are removed by age only, never written again once published.
@@ -9,10 +9,10 @@ are removed by age only, never written again once published.
 
 from __future__ import annotations
 
+import json
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
 from typing import Literal
 
 from pyspark import inheritable_thread_target
@@ -23,10 +23,11 @@ from pyspark.sql import types as T
 
 from ticketmill.operators.counts import COUNT, ROLLUP_COLUMNS, ROLLUP_KEYS, rollup_counts
 from ticketmill.schema import TOP_CLIENTS
-from ticketmill.sinks.folders import delete_folder, list_folders
+from ticketmill.sinks.folders import delete_folder
 from ticketmill.sinks.owner import LostCheckpointError, record_owner, running_query_id
+from ticketmill.sinks.runs import Run, Runs, RunStore
 
-# Running totals are kept in so many parts by client, and one part for all other counts.
+# Running totals are merged in so many parts by client, and one part for all other counts.
 CLIENT_BUCKETS = 32
 OTHER_BUCKET = 0
 # Published folders stay readable for at least so long after the next one.
@@ -46,7 +47,7 @@ ROLLUP_SCHEMA = T.StructType(
 )
 PUBLISHED_SCHEMA = (
     "batch_id BIGINT, query_id STRING, ticket_count BIGINT, published_at DOUBLE, "
-    "buckets MAP<INT, BIGINT>, sequence BIGINT"
+    "runs MAP<INT, ARRAY<STRUCT<number: BIGINT, size: BIGINT>>>, sequence BIGINT"
 )
 
 
@@ -85,13 +86,13 @@ EXPORTS = {
 
 @dataclass(frozen=True)
 class Published:
-    """A visible export: its number, where it came from, and the sequence that holds each part of its rollup."""
+    """A visible export: its number, where it came from, and the runs that its counts are the sums of."""
 
     sequence: int
     batch_id: int
     query_id: str | None
     published_at: float
-    buckets: dict[int, int]
+    runs: Runs
 
 
 def _all_published(spark: SparkSession, root: str) -> list[Published]:
@@ -107,12 +108,22 @@ def _all_published(spark: SparkSession, root: str) -> list[Published]:
             return []
         raise
     found = [
-        Published(row.sequence, row.batch_id, row.query_id, row.published_at, dict(row.buckets))
+        Published(
+            row.sequence,
+            row.batch_id,
+            row.query_id,
+            row.published_at,
+            {part: [Run(run.number, run.size) for run in runs] for part, runs in row.runs.items()},
+        )
         for row in table.collect()
     ]
     return sorted(found, key=lambda one: one.sequence)
 
 
+def _store(root: str) -> RunStore:
+    return RunStore(f"{root}/_rollup", ROLLUP_SCHEMA, ("target", *ROLLUP_COLUMNS))
+
+
 def _bucket() -> Column:
     """Part of the running totals that a rollup row belongs to."""
     part = F.pmod(F.xxhash64("client_id"), F.lit(CLIENT_BUCKETS)).cast("int") + 1
@@ -123,9 +134,9 @@ class BatchExporter:
     """A foreachBatch function that exports the counts of enriched tickets.
 
     mode ``last_batch``: each export covers the latest micro-batch only.
-    mode ``cumulative``: each export covers every micro-batch so far. Totals are kept in
-    parts by client. A batch reads and writes the parts that hold its own clients; the
-    others, and their part of the top list, are taken over as they are.
+    mode ``cumulative``: each export covers every micro-batch so far. A batch adds its own
+    counts as a run of changes and merges older runs of one part of the clients. The top list
+    is updated from the clients of the batch and the list before it.
 
     ``in_place`` (last_batch only) writes ``<root>/<target>`` directly, for readers
     that expect plain folders; targets are then replaced one by one.
@@ -169,14 +180,14 @@ class BatchExporter:
                 return  # already published; only the stream's own commit was lost
         sequence = last.sequence + 1 if last else 0
 
-        buckets = self._write_rollup(rollup_counts(batch), sequence, last)
-        if not buckets:
+        runs, tickets = self._write_rollup(rollup_counts(batch), sequence, last)
+        if not runs:
             return  # an empty batch publishes nothing
-        rollup = _read_rollup(spark, self.root, buckets, sorted(b for b, s in buckets.items() if s == sequence))
+        rollup = self._rollup(spark, runs, sequence, last)
 
         def write(name: str) -> None:
             path = f"{self.root}/{name}" if self.in_place else _export_path(self.root, name, sequence)
-            result = self._result(rollup, EXPORTS[name], name, buckets, last)
+            result = self._result(rollup, EXPORTS[name], name, last)
             result.write.mode("overwrite").format(EXPORTS[name].format).save(path)
 
         # The results are small, so their jobs are all start-up time: run them together.
@@ -187,50 +198,63 @@ class BatchExporter:
             for job in jobs:
                 job.result()
 
-        tickets = rollup.filter(F.col("target") == "by_priority").agg(F.sum(COUNT)).first()[0]
-        parts = F.create_map(*[F.lit(value) for pair in sorted(buckets.items()) for value in pair])
+        published_at = time.time()
         row = spark.range(0, 1, 1, 1).select(
             F.lit(batch_id).cast("bigint").alias("batch_id"),
             F.lit(query_id).cast("string").alias("query_id"),
             F.lit(tickets).cast("bigint").alias(COUNT),
-            F.lit(time.time()).alias("published_at"),
-            parts.cast("map<int,bigint>").alias("buckets"),
+            F.lit(published_at).alias("published_at"),
+            _runs_literal(runs).alias("runs"),
         )
         row.write.mode("overwrite").parquet(f"{self.root}/_published/sequence={sequence}")
-        current = Published(sequence, batch_id, query_id, time.time(), buckets)
+        current = Published(sequence, batch_id, query_id, published_at, runs)
         self._remove_old(spark, [*visible, current])
 
-    def _write_rollup(self, counts: DataFrame, sequence: int, last: Published | None) -> dict[int, int]:
-        """Write the rollup of a batch, or the totals it changes; which sequence holds each part from now on."""
-        spark = counts.sparkSession
-        if self.mode == "last_batch":
-            _write_parts(counts.withColumn("bucket", F.lit(OTHER_BUCKET)), self.root, sequence)
-            return _parts_of(spark, _rollup_path(self.root, sequence), sequence)
-        changes = f"{self.root}/_batch"
-        counts.withColumn("bucket", _bucket()).write.mode("overwrite").parquet(changes)
-        own = spark.read.schema(ROLLUP_SCHEMA).parquet(changes)
-        touched = sorted(row.bucket for row in own.select("bucket").distinct().collect())  # as many as there are parts
-        before = last.buckets if last else {}
-        known = [bucket for bucket in touched if bucket in before]
-        totals = own if not known else _add(_read_rollup(spark, self.root, before, known), own)
-        if touched:
-            _write_parts(totals.repartition("bucket"), self.root, sequence)
-        return {**before, **dict.fromkeys(touched, sequence)} if touched else {}
+    def _write_rollup(self, counts: DataFrame, sequence: int, last: Published | None) -> tuple[Runs, int]:
+        """Write the rollup of a batch as a run; the runs that hold the counts from now on, none for an
+        empty batch, and the number of its tickets."""
+        own, merged = _own_run(sequence), _own_run(sequence) + 1
+        store = _store(self.root)
+        # Each ticket has one priority, so these counts add up to the tickets.
+        tickets = F.when(F.col("target") == "by_priority", F.col(COUNT))
+        bucket = F.lit(OTHER_BUCKET) if self.mode == "last_batch" else _bucket()
+        parts = 1 if self.mode == "last_batch" else CLIENT_BUCKETS + 1
+        sizes, sums = store.add(counts.withColumn("bucket", bucket), own, parts, tickets=tickets)
+        before = last.runs if last and sizes and self.mode == "cumulative" else {}
+        runs = {
+            part: before.get(part, []) + ([Run(own, sizes[part])] if part in sizes else [])
+            for part in {*before, *sizes}
+        }
+        return store.merge(counts.sparkSession, runs, merged) if before else runs, sums["tickets"]
+
+    def _rollup(self, spark: SparkSession, runs: Runs, sequence: int, last: Published | None) -> dict[str, DataFrame]:
+        """The counts that this batch exports, by target: of clients only those that it changed."""
+        store = _store(self.root)
+        if self.mode == "last_batch" or last is None:
+            return dict.fromkeys(ROLLUP_KEYS, store.read(spark, runs))
+        own = {part: [Run(_own_run(sequence), 0)] for part in runs if part != OTHER_BUCKET}
+        changed = store.read(spark, own).select(F.col("client_id").alias("changed"))
+        # Only the rows of changed clients are grouped.
+        clients = store.read(spark, runs, own).join(
+            changed, F.col("client_id").eqNullSafe(F.col("changed")), "left_semi"
+        )
+        others = store.totals(store.read(spark, runs, [OTHER_BUCKET]))
+        return {name: store.totals(clients) if name == "by_client" else others for name in ROLLUP_KEYS}
 
     def _result(
-        self, rollup: DataFrame, export: Export, name: str, buckets: dict[int, int], last: Published | None
+        self, rollup: dict[str, DataFrame], export: Export, name: str, last: Published | None
     ) -> DataFrame:
-        """An export's rows in order, from the parts written for this batch."""
-        rows = rollup.filter(F.col("target") == export.source).select(*export.keys, COUNT)
+        """An export's rows in order."""
+        rows = rollup[export.source].filter(F.col("target") == export.source).select(*export.keys, COUNT)
         if not export.top:
             # The planner sizes the partitions of the sort: a small result is one file.
             return rows.orderBy(*export.order)
         if self.mode == "cumulative" and last is not None:
             # Counts only grow, so nobody enters the list but those on it and those that changed.
-            untouched = [bucket for bucket, sequence in buckets.items() if sequence <= last.sequence]
-            listed = read_sequence(rollup.sparkSession, self.root, name, last.sequence)
-            part = F.pmod(F.xxhash64("client_id"), F.lit(CLIENT_BUCKETS)).cast("int") + 1
-            rows = rows.unionByName(listed.filter(part.isin(untouched)))
+            listed = read_sequence(rows.sparkSession, self.root, name, last.sequence)
+            changed = rows.select(F.col("client_id").alias("changed"))
+            unchanged = listed.join(changed, F.col("client_id").eqNullSafe(F.col("changed")), "left_anti")
+            rows = rows.unionByName(unchanged)
         return rows.orderBy(*export.order).limit(export.top).coalesce(1)
 
     def _remove_old(self, spark: SparkSession, visible: list[Published]) -> None:
@@ -240,83 +264,40 @@ class BatchExporter:
         old = [one for one, following in zip(visible, visible[1:]) if following.published_at < limit]
         if not old:
             return
-        kept = {(s, b) for one in visible[len(old) :] for b, s in one.buckets.items()}
+        kept = {run.number for one in visible[len(old) :] for of_part in one.runs.values() for run in of_part}
         for one in old:
             delete_folder(spark, f"{self.root}/_published/sequence={one.sequence}")
             for name in EXPORTS:
                 delete_folder(spark, _export_path(self.root, name, one.sequence))
-        last_old = old[-1].sequence
-        for folder in list_folders(spark, f"{self.root}/_rollup"):
-            sequence = int(folder.removeprefix("sequence="))
-            if sequence <= last_old:
-                parts = _parts_of(spark, _rollup_path(self.root, sequence), sequence)
-                gone = [bucket for bucket in parts if (sequence, bucket) not in kept]
-                for bucket in gone:
-                    delete_folder(spark, f"{_rollup_path(self.root, sequence)}/bucket={bucket}")
-                if len(gone) == len(parts):
-                    delete_folder(spark, _rollup_path(self.root, sequence))
-
-
-def _write_parts(rollup: DataFrame, root: str, sequence: int) -> None:
-    (
-        rollup.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("bucket")
-        .parquet(_rollup_path(root, sequence))
-    )
+        _store(self.root).keep_only(spark, kept, _own_run(old[-1].sequence) + 1)
 
 
-def _parts_of(spark: SparkSession, path: str, sequence: int) -> dict[int, int]:
-    names = [name for name in list_folders(spark, path) if name.startswith("bucket=")]
-    return {int(name.removeprefix("bucket=")): sequence for name in names}
+def _runs_literal(runs: Runs) -> Column:
+    kept = {part: [{"number": run.number, "size": run.size} for run in of_part] for part, of_part in runs.items()}
+    # A JSON object has text keys.
+    parsed = F.from_json(F.lit(json.dumps(kept)), "MAP<STRING, ARRAY<STRUCT<number: BIGINT, size: BIGINT>>>")
+    return F.transform_keys(parsed, lambda part, _: part.cast("int"))
 
 
-def _add(total: DataFrame, counts: DataFrame) -> DataFrame:
-    keys = ("bucket", "target", *ROLLUP_COLUMNS)
-    return (
-        total.select(*keys, COUNT)
-        .unionByName(counts.select(*keys, COUNT))
-        .groupBy(*keys)
-        .agg(F.sum(COUNT).alias(COUNT))
-    )
-
-
-def _rollup_path(root: str, sequence: int) -> str:
-    return f"{root}/_rollup/sequence={sequence}"
+def _own_run(sequence: int) -> int:
+    """Number of the run that an export's batch writes; the next one is that of its merge."""
+    return 2 * sequence
 
 
 def _export_path(root: str, name: str, sequence: int) -> str:
     return f"{root}/{name}/sequence={sequence}"
 
 
-def _read_rollup(spark: SparkSession, root: str, buckets: dict[int, int], wanted: list[int]) -> DataFrame:
-    """The wanted parts of a rollup, each from the sequence that holds it."""
-    by_sequence: dict[int, list[str]] = {}
-    for bucket in wanted:
-        path = f"{_rollup_path(root, buckets[bucket])}/bucket={bucket}"
-        by_sequence.setdefault(buckets[bucket], []).append(path)
-    parts = [
-        spark.read.schema(ROLLUP_SCHEMA).option("basePath", _rollup_path(root, sequence)).parquet(*paths)
-        for sequence, paths in sorted(by_sequence.items())
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _latest(spark: SparkSession, root: str) -> Published:
+def _latest(spark: SparkSession, root: str) -> Published | None:
     visible = _all_published(spark, root)
-    if not visible:
-        raise FileNotFoundError(f"nothing published under {root}")
-    return visible[-1]
+    return visible[-1] if visible else None
 
 
 def read_totals(spark: SparkSession, root: str, source: str) -> DataFrame:
-    """The newest published count per key of one rollup target, e.g. ``by_client``."""
-    buckets = _latest(spark, root).buckets
-    return (
-        _read_rollup(spark, root, buckets, sorted(buckets))
-        .filter(F.col("target") == source)
-        .select(*ROLLUP_KEYS[source], COUNT)
-    )
+    """The newest published count per key of one rollup target, e.g. ``by_client``; no rows if nothing is published."""
+    last, store = _latest(spark, root), _store(root)
+    rows = store.read(spark, last.runs if last else {}).filter(F.col("target") == source)
+    return store.totals(rows).select(*ROLLUP_KEYS[source], COUNT)
 
 
 def read_sequence(spark: SparkSession, root: str, name: str, sequence: int) -> DataFrame:
@@ -325,8 +306,11 @@ def read_sequence(spark: SparkSession, root: str, name: str, sequence: int) -> D
 
 
 def read_export(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The newest published result of one export, with its exact columns.
+    """The newest published result of one export, with its exact columns; no rows if nothing is published.
 
     It stays readable for the exporter's retention after it was replaced.
     """
-    return read_sequence(spark, root, name, _latest(spark, root).sequence)
+    last = _latest(spark, root)
+    if last is None:
+        return spark.createDataFrame([], EXPORTS[name].schema())
+    return read_sequence(spark, root, name, last.sequence)
