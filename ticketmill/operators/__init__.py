@@ -13,6 +13,7 @@ from ticketmill.operators.counts import (
     with_hour,
 )
 from ticketmill.operators.enrich import enrich_tickets, enrich_tickets_from_table, team_table
+from ticketmill.operators.numbering import number_rows, number_within, rank_rows
 from ticketmill.operators.parse import decode_records, parse_tickets
 from ticketmill.operators.publish import keyed_records, partition_by_client
 from ticketmill.operators.validate import (
@@ -35,8 +36,11 @@ __all__ = [
     "enrich_tickets",
     "enrich_tickets_from_table",
     "keyed_records",
+    "number_rows",
+    "number_within",
     "parse_tickets",
     "partition_by_client",
+    "rank_rows",
     "rejected_records",
     "rollup_counts",
     "row_count",

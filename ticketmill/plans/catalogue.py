@@ -6,7 +6,7 @@ the library on the records. Times leave as text, so that results compare exactly
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from datetime import timedelta
 from functools import reduce, wraps
 
@@ -15,9 +15,17 @@ from pyspark.sql import functions as F
 
 from ticketmill import operators as ops
 from ticketmill.plans.job import JobConfig, catch_up, enriched_tickets
-from ticketmill.schema import BY_PRIORITY_TARGET, BY_TYPE_TARGET, ENRICHED_TARGET, TICKET_FIELDS
+from ticketmill.schema import BY_PRIORITY_TARGET, BY_TYPE_TARGET, ENRICHED_SCHEMA, ENRICHED_TARGET, TICKET_FIELDS
 from ticketmill.session import pin_utc, scratch_dir
-from ticketmill.sinks import EXPORTS, BatchExporter, latest_counts, read_export, read_totals
+from ticketmill.sinks import (
+    EXPORTS,
+    BatchExporter,
+    ClientSequencer,
+    LateTickets,
+    latest_counts,
+    read_export,
+    read_totals,
+)
 from ticketmill.sources import (
     event_records,
     event_tickets,
@@ -29,12 +37,14 @@ from ticketmill.sources import (
     ticket_records,
 )
 from ticketmill.streaming import (
+    start_batches,
     start_enriched_table,
     start_exports,
     start_window_changes,
     start_window_table,
     wait_for,
 )
+from ticketmill.streaming import open_windows as read_open_windows
 from ticketmill.streaming.queries import ONCE, PRIORITY_KEYS, TYPE_KEYS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -250,6 +260,14 @@ def agg_by_client(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.count_by_client(_tickets(spark, sf_dir))
 
 
+@_query
+def agg_by_client_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every client's place by its number of tickets; equal numbers go by client."""
+    counts = ops.count_by_client(_tickets(spark, sf_dir))
+    order = [F.desc(COUNT), F.col("client_id")]
+    return ops.rank_rows(counts, order, scratch_dir(spark, "agg_by_client_ranked"))
+
+
 @_query
 def top_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.top_clients(_tickets(spark, sf_dir))
@@ -322,6 +340,16 @@ def stream_by_priority_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _changed_windows(spark, sf_dir, "stream_by_priority_update", PRIORITY_KEYS)
 
 
+@_query
+def open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that a bounded run in append mode leaves open, from the state in its checkpoint."""
+    out = scratch_dir(spark, "open_windows")
+    tickets = _ticket_stream(spark, sf_dir)
+    checkpoint = f"{out}/checkpoint"
+    wait_for(start_window_table(tickets, PRIORITY_KEYS, f"{out}/data", checkpoint, "open_windows", trigger=ONCE))
+    return _window_text(read_open_windows(spark, checkpoint, PRIORITY_KEYS), PRIORITY_KEYS)
+
+
 PARTS = 3
 
 
@@ -343,14 +371,12 @@ def _between(events: DataFrame, cuts: list[Column] | None, start: int, end: int)
     return events.filter(inside | F.col("ts").isNull() if start <= 0 else inside)
 
 
-@_query
-def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Closed windows of a stream that is restarted twice and gets late tickets.
+def _arriving_late(spark: SparkSession, sf_dir: str, out: str) -> Iterator[DataFrame]:
+    """The tickets of a topic, streamed anew after each of three arrivals.
 
     Tickets arrive in three parts by time, critical ones one part late (those of
-    the last part in time). A late ticket counts only while its window is open.
+    the last part in time).
     """
-    out = scratch_dir(spark, "stream_late_data")
     events = read_events(spark, sf_dir)
     cuts = _time_cuts(events)
     critical = F.col("priority") == "critical"
@@ -364,7 +390,17 @@ def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
             due = due | critical
         tickets = event_tickets(_between(events, cuts, part - 1, part + 1)).filter(due)
         ticket_records(tickets).write.mode("append").parquet(f"{out}/topic")
-        arrived = _enriched(stream_records(spark, f"{out}/topic"))
+        yield _enriched(stream_records(spark, f"{out}/topic"))
+
+
+@_query
+def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed windows of a stream that is restarted twice and gets late tickets.
+
+    A late ticket counts only while its window is open.
+    """
+    out = scratch_dir(spark, "stream_late_data")
+    for arrived in _arriving_late(spark, sf_dir, out):
         wait_for(
             start_window_table(
                 arrived,
@@ -378,6 +414,16 @@ def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _window_text(spark.read.parquet(f"{out}/data"), PRIORITY_KEYS)
 
 
+@_query
+def late_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tickets that ``stream_late_data`` drops, kept from the same arrivals."""
+    out = scratch_dir(spark, "late_tickets")
+    sink = LateTickets(f"{out}/late")
+    for arrived in _arriving_late(spark, sf_dir, out):
+        wait_for(start_batches(arrived, sink, f"{out}/checkpoint", "late_tickets", ONCE))
+    return _ticket_text(sink.read(spark, ENRICHED_SCHEMA), "assigned_team")
+
+
 # --- sinks ------------------------------------------------------------------------
 
 
@@ -503,6 +549,16 @@ def job_bookkeeping(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def client_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ticket's number among its client's, after three micro-batches."""
+    out, arrive = _arriving_in_parts(spark, sf_dir, "client_sequence")
+    sequencer = ClientSequencer(f"{out}/numbered")
+    for part in range(PARTS):
+        wait_for(start_batches(_enriched(arrive(part)), sequencer, f"{out}/checkpoint", "client_sequence", ONCE))
+    return sequencer.read(spark, ENRICHED_SCHEMA).select("ticket_id", "client_id", "sequence")
+
+
 @_query
 def publish_keyed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyed records written client by client, then read back and parsed."""

@@ -49,9 +49,11 @@ damaged AS (
               ELSE ts END AS parsed_ts
   FROM en),
 reasons AS (
-  SELECT *, CASE digit WHEN 1 THEN 'no_ticket_fields' WHEN 2 THEN 'null_value'
-                       WHEN 3 THEN 'bad_created_at' WHEN 4 THEN 'missing_client_id'
-                       WHEN 5 THEN 'bad_created_at' END AS reject_reason
+  SELECT *, CASE WHEN digit = 1 THEN 'no_ticket_fields' WHEN digit = 2 THEN 'null_value'
+                 WHEN digit = 3 THEN 'bad_created_at' WHEN digit = 4 THEN 'missing_client_id'
+                 -- an event without a time gives a ticket without that field
+                 WHEN ts IS NULL THEN 'missing_created_at'
+                 WHEN digit = 5 THEN 'bad_created_at' END AS reject_reason
   FROM damaged)"""
 
 TICKET = "ticket_id, client_id, created_at, request, request_type, priority, kafka_timestamp"
@@ -63,19 +65,18 @@ DAMAGED_TICKET = """ticket_id, parsed_client AS client_id,
 TYPE_KEYS = "request_type, assigned_team"
 
 
-def _windows(keys: str, closed_only: bool = False) -> str:
-    closed = (
-        """WHERE bucket + INTERVAL '5 minutes'
-                <= (SELECT max(ts) FROM en) - INTERVAL '1 minute'"""
-        if closed_only
-        else ""
-    )
+def _windows(keys: str, closed: bool | None = None) -> str:
+    """Windowed counts: of all windows, or only of those that are closed, or open, at the end."""
+    wanted = "WHERE ts IS NOT NULL"
+    if closed is not None:
+        wanted += f""" AND bucket + INTERVAL '5 minutes' {"<=" if closed else ">"}
+                (SELECT max(ts) FROM en) - INTERVAL '1 minute'"""
     return f"""{ENRICHED},
 b AS (SELECT *, time_bucket(INTERVAL '5 minutes', ts) AS bucket FROM en)
 SELECT strftime(bucket, '%Y-%m-%d %H:%M:%S') AS window_start,
        strftime(bucket + INTERVAL '5 minutes', '%Y-%m-%d %H:%M:%S') AS window_end,
        {keys}, count(*) AS ticket_count
-FROM b {closed} GROUP BY bucket, {keys}"""
+FROM b {wanted} GROUP BY bucket, {keys}"""
 
 
 def _export(name: str) -> str:
@@ -102,7 +103,7 @@ JSON_EXPORTS = ("json_by_type", "json_by_priority")
 
 # A third is decided in whole microseconds; critical tickets arrive one third late.
 # A ticket is dropped when its window was closed by the tickets of earlier arrivals.
-LATE = f"""{ENRICHED},
+ARRIVALS = f"""{ENRICHED},
 bounds AS (SELECT epoch_us(min(ts)) AS low, epoch_us(max(ts)) AS high FROM en),
 arrivals AS (
   SELECT en.*, time_bucket(INTERVAL '5 minutes', ts) AS bucket,
@@ -112,7 +113,9 @@ arrivals AS (
 seen AS (
   SELECT arrival + 1 AS arrival,
          max(max(ts)) OVER (ORDER BY arrival) - INTERVAL '1 minute' AS watermark
-  FROM arrivals GROUP BY arrival)
+  FROM arrivals GROUP BY arrival)"""
+
+LATE = f"""{ARRIVALS}
 SELECT strftime(bucket, '%Y-%m-%d %H:%M:%S') AS window_start,
        strftime(bucket + INTERVAL '5 minutes', '%Y-%m-%d %H:%M:%S') AS window_end,
        priority, count(*) AS ticket_count
@@ -156,11 +159,18 @@ FROM (SELECT *, CAST(hour(ts) AS int) AS hour FROM en)
 GROUP BY GROUPING SETS ((request_type, assigned_team), (priority), (hour), (client_id))""",
         "window_by_type": _windows(TYPE_KEYS),
         "window_by_priority": _windows("priority"),
-        "stream_by_type_append": _windows(TYPE_KEYS, closed_only=True),
-        "stream_by_priority_append": _windows("priority", closed_only=True),
+        "stream_by_type_append": _windows(TYPE_KEYS, closed=True),
+        "stream_by_priority_append": _windows("priority", closed=True),
         "stream_by_type_update": _windows(TYPE_KEYS),
         "stream_by_priority_update": _windows("priority"),
         "stream_late_data": LATE,
+        "late_tickets": f"""{ARRIVALS} SELECT {TICKET}, assigned_team
+FROM arrivals JOIN seen USING (arrival) WHERE bucket + INTERVAL '5 minutes' <= watermark""",
+        "open_windows": _windows("priority", closed=False),
+        "agg_by_client_ranked": f"""{ENRICHED} SELECT client_id, count(*) AS ticket_count,
+       row_number() OVER (ORDER BY count(*) DESC, client_id) AS rank FROM en GROUP BY client_id""",
+        "client_sequence": f"""{ENRICHED} SELECT ticket_id, client_id,
+       row_number() OVER (PARTITION BY client_id ORDER BY ts NULLS FIRST, ticket_id) AS sequence FROM en""",
         "sink_enriched_parquet": enriched_rows,
         "sink_batch_exports": _exports(*PARQUET_EXPORTS),
         "sink_json_exports": _exports(*JSON_EXPORTS),
@@ -188,8 +198,8 @@ UNION ALL SELECT 'changed_by_empty_batch', 0""",
         "concurrent_queries": f"""{ENRICHED}
 SELECT 'enriched_tickets' AS target, assigned_team AS key, CAST(NULL AS varchar) AS detail,
        count(*) AS ticket_count FROM en GROUP BY ALL
-UNION ALL SELECT 'tickets_by_type', request_type, assigned_team, count(*) FROM en GROUP BY ALL
-UNION ALL SELECT 'tickets_by_priority', priority, NULL, count(*) FROM en GROUP BY ALL
+UNION ALL SELECT 'tickets_by_type', request_type, assigned_team, count(*) FROM en WHERE ts IS NOT NULL GROUP BY ALL
+UNION ALL SELECT 'tickets_by_priority', priority, NULL, count(*) FROM en WHERE ts IS NOT NULL GROUP BY ALL
 UNION ALL SELECT 'batch_aggregations', CAST(hour(ts) AS varchar), NULL, count(*)
 FROM en GROUP BY ALL""",
     }

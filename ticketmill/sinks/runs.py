@@ -70,7 +70,7 @@ class RunStore:
             for run in runs.get(part, []):
                 wanted.setdefault(run.number, []).append(part)
         if not wanted:
-            return spark.createDataFrame([], self.schema)
+            return spark.createDataFrame([], self.schema)  # nothing has been added so far
         with_run = T.StructType([*self.schema, T.StructField("run", T.LongType())])
         scan = (
             spark.read.schema(with_run)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import Protocol
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -131,7 +132,22 @@ def start_exports(
     name: str = EXPORTS_QUERY,
 ) -> StreamingQuery:
     """Hand each micro-batch to the exporter."""
-    return _writer(enriched, name, checkpoint, trigger, exporter.root).foreachBatch(exporter).start()
+    return start_batches(enriched, exporter, checkpoint, name, trigger)
+
+
+class BatchSink(Protocol):
+    """What fills the folder ``root`` from each micro-batch, the same for the same batch id."""
+
+    root: str
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None: ...
+
+
+def start_batches(
+    tickets: DataFrame, sink: BatchSink, checkpoint: str, name: str, trigger: Trigger = EVERY_INGEST
+) -> StreamingQuery:
+    """Hand each micro-batch to a sink such as ``ClientSequencer`` or ``LateTickets``."""
+    return _writer(tickets, name, checkpoint, trigger, sink.root).foreachBatch(sink).start()
 
 
 def wait_for(*queries: StreamingQuery) -> None:
