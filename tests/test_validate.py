@@ -98,3 +98,52 @@ def test_reasons_against_brute_force(spark, drawn):
     rejected = rows(rejected_records(records).select("offset", "reject_reason"))
     assert rejected == [(i, reason) for i, reason in enumerate(expected) if reason]
     assert accepted_tickets(records).count() == expected.count(None)
+
+
+TYPED = [
+    (M1, None),
+    (None, "null_value"),
+    ("not json", "no_ticket_fields"),
+    ("", "no_ticket_fields"),
+    ("null", "no_ticket_fields"),
+    ("[1]", "no_ticket_fields"),
+    ('"text"', "no_ticket_fields"),
+    ("{}", "no_ticket_fields"),
+    ('{"other": 1}', "no_ticket_fields"),
+    ('{"ticket_id": null}', "no_ticket_fields"),
+    ('{"ticket_id": "TK-7"}', "missing_client_id"),
+    ('{"ticket_id": 7}', "wrong_type_ticket_id"),
+    (M1[:-1], "no_ticket_fields"),
+]
+
+
+def changed(**fields):
+    return json.dumps({**json.loads(M1), **fields})
+
+
+TYPED += [(changed(**{field: value}), f"wrong_type_{field}") for field in TICKET_FIELDS for value in (5, 0.5, True, {"a": 1}, ["x"])]
+TYPED += [
+    (changed(priority=None), "missing_priority"),
+    (changed(extra="x"), "unknown_field"),
+    (changed(extra=None), "unknown_field"),
+    (changed(Priority="x"), "unknown_field"),
+    (changed(created_at="not a date"), "bad_created_at"),
+    (changed(created_at="2026-02-21"), "bad_created_at"),
+    (changed(request=""), None),
+]
+
+
+def test_typed_reasons(spark):
+    records = make_records(spark, [value for value, _ in TYPED])
+    found = dict(rows(rejected_records(records, typed=True).select("offset", "reject_reason")))
+    assert found == {at: reason for at, (_, reason) in enumerate(TYPED) if reason}
+    accepted = accepted_tickets(records, typed=True)
+    assert accepted.schema == accepted_tickets(records).schema
+    assert [row[0] for row in rows(accepted)] == [json.loads(M1)["ticket_id"]] * 2
+    assert rows(accepted.limit(1)) == rows(accepted_tickets(make_records(spark, [M1])))
+
+
+def test_types_are_read_in_one_parse(edge_records):
+    plan = rejected_records(edge_records, typed=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.lower().count("parsejson") == 1, plan
+    assert "from_json" not in plan

@@ -5,6 +5,7 @@ from ticketmill.functions.columns import (
     rejection_reason,
     team_for,
     ticket_json,
+    typed_rejection_reason,
 )
 
 __all__ = [
@@ -14,4 +15,5 @@ __all__ = [
     "rejection_reason",
     "team_for",
     "ticket_json",
+    "typed_rejection_reason",
 ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -58,3 +59,23 @@ def rejection_reason(value: Column, ticket: Column) -> Column:
     for name, field in fields.items():
         reason = reason.when(field.isNull(), f"missing_{name}")
     return reason.when(~is_ticket_time(fields["created_at"]), "bad_created_at")
+
+
+def typed_rejection_reason(value: Column, fields: Column) -> Column:
+    """Why strict mode with types refuses a record, or null for a valid one.
+
+    ``fields`` are the payload's top-level fields as variants, null where it isn't an
+    object. Beside the reasons of ``rejection_reason``, a field that isn't text and a
+    field that tickets don't have are refused. JSON null counts as missing.
+    """
+    own = {name: F.try_element_at(fields, F.lit(name)) for name in TICKET_FIELDS}
+    kinds = {name: F.schema_of_variant(field) for name, field in own.items()}
+    given = {name: own[name].isNotNull() & (kinds[name] != "VOID") for name in own}
+    reason = F.when(value.isNull(), "null_value").when(
+        fields.isNull() | ~reduce(Column.__or__, given.values()), "no_ticket_fields"
+    )
+    for name in own:
+        reason = reason.when(~given[name], f"missing_{name}").when(kinds[name] != "STRING", f"wrong_type_{name}")
+    known = F.array(*[F.lit(name) for name in TICKET_FIELDS])
+    reason = reason.when(F.size(F.array_except(F.map_keys(fields), known)) > 0, "unknown_field")
+    return reason.when(~is_ticket_time(F.try_variant_get(own["created_at"], "$", "string")), "bad_created_at")

@@ -29,6 +29,20 @@ def decode_records(records: DataFrame, *keep: str, parse_once: bool = False) ->
     return texts.select("*", (F.explode(F.array(ticket)) if parse_once else ticket).alias("ticket"))
 
 
+def decode_variants(records: DataFrame, *keep: str) -> DataFrame:
+    """Records as ``decode_records`` gives them, with ``fields``: all top-level fields as variants.
+
+    ``fields`` is null where the payload isn't one JSON object; a field given twice makes it
+    unreadable. Fields of ``ticket`` are null where theirs isn't text. Each payload is parsed once.
+    """
+    texts = records.selectExpr("CAST(value AS STRING) AS payload", "timestamp AS kafka_timestamp", *keep)
+    fields = F.try_variant_get(F.try_parse_json("payload"), "$", "map<string,variant>")
+    parsed = texts.select("*", F.explode(F.array(fields)).alias("fields"))
+    own = {name: F.try_element_at("fields", F.lit(name)) for name in TICKET_FIELDS}
+    text = {name: F.when(F.schema_of_variant(own[name]) == "STRING", F.try_variant_get(own[name], "$", "string")) for name in own}
+    return parsed.select("*", F.struct(*[text[name].alias(name) for name in own]).alias("ticket"))
+
+
 def ticket_columns() -> list[Column]:
     """Flat, typed columns of a decoded record, in table order."""
     fields = {name: F.col(f"ticket.{name}") for name in TICKET_FIELDS}

