@@ -495,3 +495,11 @@ def test_held_out_rows(spark):
     assert found.pop(None) is True
     assert found == {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in range(50)}
     assert frame.where(F.col("doc_id") < 0).count() == 0
+
+
+def test_an_id_with_very_many_texts_gives_one_to_the_sample(spark, monkeypatch):
+    rows = [(1, f"{sentence(k, 4)} {k}", "xx") for k in range(5_000)] + [(k, sentence(k, 30), "yy") for k in range(2, 60)]
+    read = {}
+    monkeypatch.setattr(language_id, "build_model", lambda texts: read.update(texts))
+    language_id.train(make_docs(spark, rows), "doc_id", "text", "lang")
+    assert len(read["xx"]) == 1 and len(read["yy"]) > 20

@@ -69,9 +69,9 @@ def train(labelled: DataFrame, id_col: str, text_col: str, lang_col: str) -> Lan
         sizes[row["lang"]] = sizes.get(row["lang"], 0) + row["n"]
     sample = (
         rows.where(F.col("hash").isin([row["hash"] for row in slots]))
-        .select("lang", "hash", F.substring("text", 1, READ_CHARS).alias("text"))
-        .distinct()
-        .collect()
+        .groupBy("lang", "hash")
+        .agg(F.min(F.substring("text", 1, READ_CHARS)).alias("text"))
+        .collect()  # an id's texts give one, so no more rows than there are slots and languages sharing an id
         if slots
         else []
     )
