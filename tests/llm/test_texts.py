@@ -210,16 +210,41 @@ def test_shared_passages_share_a_fingerprint():
         assert len(np.intersect1d(a.distinct, b.distinct))
 
 
-def test_short_texts_are_like_their_edited_copies():
-    for seed in range(20):
+def plain_choice(text):
+    """Runs of the gram's length that winnowing chooses, told apart by the operator's hash of each run alone."""
+    gram = min(winnowing.GRAM, len(text))
+    runs = [text[at : at + gram] for at in range(len(text) - gram + 1)] if text else []
+    hashes = [int(winnowing.gram_hashes(run)[0]) for run in runs]
+    width = min(winnowing.WINDOW, len(runs))
+    chosen = set()
+    for at in range(len(runs) - width + 1 if runs else 0):
+        least = min(hashes[at : at + width])
+        chosen.add(runs[max(k for k in range(at, at + width) if hashes[k] == least)])
+    return chosen
+
+
+def test_likeness_at_every_length_is_that_of_the_chosen_runs():
+    for seed in range(8):
         text, other = sentence(seed, 60), sentence(100 + seed, 60).upper()
-        for length in [*range(4, 60), 200]:
-            own = winnowing.Fingerprint(text[:length])
-            edited = winnowing.Fingerprint(winnowing.edited_text(text[:length], other))
-            assert 0 < own.likeness(edited) <= 1 and own.likeness(edited) == edited.likeness(own)
-            assert length > 51 or own.likeness(edited) < 1
-            assert own.likeness(winnowing.Fingerprint(text[:length])) == 1
-            assert own.likeness(winnowing.Fingerprint("")) == own.likeness(winnowing.Fingerprint("0" * length)) == 0
+        for length in range(0, 81):
+            edited = winnowing.edited_text(text[:length], other)
+            a, b = plain_choice(text[:length]), plain_choice(edited)
+            found = winnowing.Fingerprint(text[:length]).likeness(winnowing.Fingerprint(edited))
+            assert found == (len(a & b) / len(a | b) if a | b else 1.0)
+            # Three quarters that hold a whole window of runs are always noticed.
+            assert found > 0 or length - length // 4 < winnowing.GRAM + winnowing.WINDOW - 1
+
+
+def test_rows_without_an_id_are_dealt_to_several_ranges(spark, monkeypatch):
+    monkeypatch.setattr(winnowing, "MIN_RANGES", 64)
+    rows = [(k if k % 3 else None, sentence(k, 20)) for k in range(600)] + [(5, sentence(k, 20)) for k in range(600, 800)]
+    plain = make_docs(spark, rows).select("doc_id", "text")
+    dealt = winnowing.with_ranges(plain).where("not after")
+    assert dealt.count() == len(rows)
+    for hot in ("doc_id is null", "doc_id = 5"):
+        assert dealt.where(hot).select("range").distinct().count() > 5
+    found = winnowing.fingerprint_chain(plain).collect()
+    assert Counter(row.doc_id for row in found) == Counter(row[0] for row in rows)
 
 
 def test_chain_of_edge_rows(edge_docs):

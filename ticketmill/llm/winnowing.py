@@ -4,18 +4,13 @@ Every run of ``gram`` code points gets a rolling hash. Of each ``window`` consec
 the smallest is chosen, the rightmost of equal ones, and kept with its position. So two
 texts that share any run of ``gram + window - 1`` code points share a chosen hash, and
 nothing shorter than ``gram`` is ever matched. Likeness is the Jaccard index of the chosen
-hashes.
-
-Three quarters of a short text may hold no run of ``gram + window - 1``. The likeness of two such
-texts is the Jaccard index of all their runs of a quarter of the shorter one's length, at
-least one code point and at most ``gram``; so a text is like a copy of three quarters of it at every
-length. What a few code points have in common by chance counts there, too. Their fingerprints
-are made like any others.
+hashes, by the same rule at every length.
 
 ``fingerprint_chain`` also compares each document with the next one in ascending id, and
-with an edited text made from both. For that the texts are dealt out once by ranges of ids;
-the document that begins a range is sent to the range before it as well, and the very first
-to the last range, so every range is complete in itself.
+with an edited text made from both. For that the texts are dealt out once by ranges of (id, hash
+of the text); the document that begins a range is sent to the range before it as well, and the
+very first to the last range, so every range is complete in itself. So rows without an id, or
+with one id, have several ranges; only rows that repeat an id and a text share one.
 
 Defined results: a null text counts as empty; an empty text has no hash, is like another
 empty one (1.0) and unlike any other (0.0). A text shorter than ``gram`` has one hash, of the
@@ -26,6 +21,7 @@ last. A single document is its own next. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,14 +31,15 @@ from pyspark.sql import functions as F
 
 from ticketmill.llm.common import arrow_map, as_texts, id_and_text, mix64, rolling_hashes
 
-GRAM = 24
-WINDOW = 16
+GRAM = 8
+WINDOW = 6
 HASH_BASE = 0x9E3779B97F4A7C15
 # Ranges of ids: about so many bytes of text each.
 RANGE_BYTES = 4 << 20
 MIN_RANGES = 1_024
 MAX_RANGES = 100_000
 SAMPLED_PER_RANGE = 16
+RANGES_PER_TASK = 8
 
 
 def gram_hashes(text: str, gram: int = GRAM) -> np.ndarray:
@@ -78,19 +75,13 @@ class Fingerprint:
         self.positions = winnow(hashes, window)
         self.hashes = hashes[self.positions]
         self.distinct = np.unique(self.hashes)
-        self.gram = gram
-        self.short = text if 0 < len(text) - len(text) // 4 < gram + window - 1 else None
 
     def digest(self) -> str:
         return hashlib.sha256(self.positions.astype("<i8").tobytes() + self.hashes.astype("<u8").tobytes()).hexdigest()
 
     def likeness(self, other: Fingerprint) -> float:
-        own, others = self.distinct, other.distinct
-        if self.short and other.short:
-            gram = max(1, min(self.gram, min(len(self.short), len(other.short)) // 4))
-            own, others = (np.unique(gram_hashes(text, gram)) for text in (self.short, other.short))
-        shared = len(np.intersect1d(own, others, assume_unique=True))
-        either = len(own) + len(others) - shared
+        shared = len(np.intersect1d(self.distinct, other.distinct, assume_unique=True))
+        either = len(self.distinct) + len(other.distinct) - shared
         return shared / either if either else 1.0
 
 
@@ -122,54 +113,59 @@ def edited_text(text: str, following: str) -> str:
     return text[: len(text) - quarter] + following[:quarter]
 
 
-def _range_starts(plain: DataFrame) -> list[int]:
-    """Ids that begin ranges of about equal numbers of documents; each is an id of the table.
+# Place of a document: whether its id is missing, the id, the hash of its text.
+Place = tuple[bool, int, int]
+
 
-    The sample they come from has a fixed number of ids per range.
+def _range_starts(plain: DataFrame) -> list[Place]:
+    """Places that begin ranges of about equal numbers of documents; each is one of the table's.
+
+    The sample they come from has a fixed number of places per range, each once.
     """
+    place = F.struct(
+        F.col("doc_id").isNull().alias("missing"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("text_hash").alias("hash")
+    )
     facts = plain.agg(
-        F.sum(F.octet_length("text")).alias("bytes"), F.count("doc_id").alias("ids"), F.min("doc_id").alias("least")
+        F.sum(F.octet_length("text")).alias("bytes"), F.count(F.lit(1)).alias("rows"), F.min(place).alias("least")
     ).first()
-    if not facts["ids"]:
+    if not facts["rows"]:
         return []
     ranges = min(MAX_RANGES, max(MIN_RANGES, -(-(facts["bytes"] or 0) // RANGE_BYTES)))
-    share = min(1.0, ranges * SAMPLED_PER_RANGE / facts["ids"])
+    share = min(1.0, ranges * SAMPLED_PER_RANGE / facts["rows"])
     scale = 1 << 40
-    sample = plain.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < int(share * scale)).where("doc_id is not null")
-    ids = sorted({row[0] for row in sample.select("doc_id").collect()})
-    chosen = [ids[len(ids) * k // ranges] for k in range(ranges)] if ids else []
-    return sorted({facts["least"], *chosen})
+    drawn = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(scale)) < int(share * scale)
+    sample = sorted(tuple(row) for row in plain.where(drawn).select(place.alias("place")).distinct().select("place.*").collect())
+    chosen = [sample[len(sample) * k // ranges] for k in range(ranges)] if sample else []
+    return sorted({tuple(facts["least"]), *chosen})
 
 
 def with_ranges(plain: DataFrame) -> DataFrame:
     """Deals documents out by range, each range in order and followed by the start of the next (``after``)."""
-    starts = np.array(_range_starts(plain), dtype=np.int64)
+    rows = plain.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    starts = _range_starts(rows)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = np.array([2**63 - 1 if one is None else one for one in batch.column("doc_id").to_pylist()])
-            ids = ids.astype(np.int64)
-            own = np.maximum(np.searchsorted(starts, ids, side="right") - 1, 0)
-            if len(starts):
-                begins = np.flatnonzero(starts[own] == ids)
-                begins = begins[[batch.column("doc_id")[int(at)].is_valid for at in begins]]
-            else:
-                begins = np.arange(len(ids))  # every id is null: one range
+            ids = batch.column("doc_id").to_pylist()
+            places = [(one is None, one or 0, text) for one, text in zip(ids, batch.column("text_hash").to_pylist())]
+            own = np.array([bisect_right(starts, place) - 1 for place in places], dtype=np.int64)
+            begins = np.array([at for at, place in enumerate(places) if starts[own[at]] == place], dtype=np.int64)
             before = (own[begins] - 1) % max(1, len(starts))
-            rows = batch.take(pa.array(np.concatenate((np.arange(len(ids)), begins))))
+            dealt = batch.take(pa.array(np.concatenate((np.arange(len(own)), begins))))
             yield pa.RecordBatch.from_arrays(
                 [
-                    *rows.columns,
+                    *dealt.columns,
                     pa.array(np.concatenate((own, before)), pa.int64()),
                     pa.array(np.arange(len(own) + len(begins)) >= len(own), pa.bool_()),
                 ],
-                names=["doc_id", "text", "range", "after"],
+                names=["doc_id", "text", "text_hash", "range", "after"],
             )
 
+    tasks = int(plain.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        arrow_map(plain, deal, "doc_id long, text string, range long, after boolean")
-        .repartition("range")
-        .sortWithinPartitions("range", "after", F.asc_nulls_last("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))))
+        arrow_map(rows, deal, "doc_id long, text string, text_hash long, range long, after boolean")
+        .repartition(max(tasks, -(-len(starts) // RANGES_PER_TASK)), "range")
+        .sortWithinPartitions("range", "after", F.asc_nulls_last("doc_id"), "text_hash")
     )
 
 
