@@ -1,5 +1,7 @@
 """Session settings and scratch space."""
 
+import pytest
+
 from ticketmill.session import SESSION_CONF, pin_utc, scratch_dir, shared_folder, state_partitions
 
 
@@ -32,6 +34,14 @@ def test_scratch_space_without_a_checkpoint_folder_is_below_the_warehouse():
     assert scratch_dir(plain, "x").startswith("hdfs:///warehouse/_scratch/ticketmill/x-")
 
 
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]"])
+@pytest.mark.parametrize("warehouse", ["file:/home/me/spark-warehouse", "/home/me/spark-warehouse"])
+def test_a_warehouse_on_the_drivers_disk_is_no_scratch_space_for_other_nodes(master, warehouse):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session(master, spark_sql_warehouse_dir=warehouse))
+    assert shared_folder(Session("local[4]", spark_sql_warehouse_dir=warehouse)) == f"{warehouse}/_scratch"
+
+
 def test_settings_are_applied(spark):
     for key, value in SESSION_CONF.items():
         assert spark.conf.get(key) == value

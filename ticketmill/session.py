@@ -50,13 +50,24 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all nodes share: ``spark.checkpoint.dir``, else one below the warehouse."""
+    """The folder all nodes share: ``spark.checkpoint.dir``, else one below the warehouse.
+
+    Where executors run on other nodes, a warehouse on the driver's own disk is refused.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if not is_local(spark.sparkContext.master) and warehouse.startswith(("file:", "/")):
+            raise ValueError(f"{warehouse} isn't shared by the nodes: set spark.checkpoint.dir")
+        folder = f"{warehouse}/_scratch"
     return folder.rstrip("/")
 
 
+def is_local(master: str) -> bool:
+    """Whether executors share the driver's disk because they are threads of it."""
+    return master == "local" or master.startswith("local[")
+
+
 @contextmanager
 def state_partitions(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
     """Fix the number of state partitions of the streaming queries started inside.
