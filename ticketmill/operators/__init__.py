@@ -13,6 +13,7 @@ from ticketmill.operators.counts import (
     with_hour,
 )
 from ticketmill.operators.enrich import enrich_tickets, enrich_tickets_from_table, team_table
+from ticketmill.operators.heavy import candidate_tickets, top_clients_of_many
 from ticketmill.operators.numbering import number_rows, number_within, rank_rows
 from ticketmill.operators.parse import decode_records, parse_tickets
 from ticketmill.operators.publish import keyed_records, partition_by_client
@@ -25,6 +26,7 @@ from ticketmill.operators.validate import (
 
 __all__ = [
     "accepted_tickets",
+    "candidate_tickets",
     "check_records",
     "checked_tickets",
     "count_by",
@@ -46,6 +48,7 @@ __all__ = [
     "row_count",
     "team_table",
     "top_clients",
+    "top_clients_of_many",
     "window_counts",
     "window_counts_by_priority",
     "window_counts_by_type",

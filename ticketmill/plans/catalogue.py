@@ -303,6 +303,15 @@ def top_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.top_clients(_tickets(spark, sf_dir))
 
 
+@_query
+def top_clients_of_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``top_clients``, over a stored table: only clients that can be among the first are counted."""
+    out = scratch_dir(spark, "top_clients_of_many")
+    stored = _tickets(spark, sf_dir).select("client_id")
+    stored.write.parquet(f"{out}/clients")
+    return ops.top_clients_of_many(spark.read.schema(stored.schema).parquet(f"{out}/clients"), f"{out}/cells")
+
+
 @_query
 def batch_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Needs no field of the ticket, so without the explode nothing is parsed at all."""

@@ -129,6 +129,7 @@ def oracle_sql() -> dict[str, str]:
     def grouped(keys: str) -> str:
         return f"{ENRICHED} SELECT {keys}, count(*) AS ticket_count FROM en GROUP BY ALL"
 
+    top_clients = f"{grouped('client_id')} ORDER BY ticket_count DESC, client_id LIMIT 10"
     hourly = grouped("CAST(hour(ts) AS int) AS hour")
     enriched_rows = f"{ENRICHED} SELECT {TICKET}, assigned_team FROM en"
     return {
@@ -159,7 +160,8 @@ FROM reasons WHERE reject_reason IS NOT NULL GROUP BY reject_reason""",
         "agg_by_priority": grouped("priority"),
         "agg_hourly_volume": hourly,
         "agg_by_client": grouped("client_id"),
-        "top_clients": f"{grouped('client_id')} ORDER BY ticket_count DESC, client_id LIMIT 10",
+        "top_clients": top_clients,
+        "top_clients_of_many": top_clients,
         "batch_row_count": f"{ENRICHED} SELECT count(*) AS ticket_count FROM en",
         "rollup_counts": f"""{ENRICHED}
 SELECT CASE WHEN grouping(client_id) = 0 THEN 'by_client' WHEN grouping(hour) = 0 THEN 'by_hour'
