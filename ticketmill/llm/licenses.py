@@ -6,8 +6,9 @@ matched, and each gap between anchors is aligned the same way. Coverage is the s
 template's words that are matched.
 
 In a long text the places of the template's words are searched first for stretches that
-hold enough of them; that is a necessary condition for the coverage asked for, so nothing
-is lost, and a license that a text holds several times is found each time.
+hold enough of them, a necessary condition for the coverage asked for. A license that a text
+holds several times is found each time. A finding ends at ``STRETCH`` times the words of its
+template, so a license that foreign words draw out further is lost.
 
 Coverage alone would take a sibling for a license, as names and versions are few words. So
 the words of ``NAMES`` must all be aligned, with none but ``HARMLESS`` words between them.
