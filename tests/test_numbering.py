@@ -9,6 +9,7 @@ from conftest import rows, utc
 from pyspark.sql import functions as F
 
 from ticketmill.operators import enrich_tickets, number_rows, number_within, rank_rows
+from ticketmill.plans import catalogue
 from ticketmill.sinks import ClientSequencer, LateTickets
 from ticketmill.streaming import open_windows, start_batches, start_window_table, wait_for
 from ticketmill.streaming.queries import ONCE
@@ -65,6 +66,69 @@ def test_a_hot_key_is_numbered_in_several_ranges(spark, tmp_path):
     assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_rows_are_computed_once(spark, tmp_path):
+    """Also those of a task that has most of them, which the search for ranges reads once more."""
+    computed = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(number):
+        computed.add(1)
+        return f"c{number % 7}"
+
+    numbers = spark.range(0, 20_000, 1, 1).union(spark.range(20_000, 20_010, 1, 5))
+    rows_ = numbers.select(counted("id").alias("client_id"), "id")
+    found = number_within(rows_, "client_id", [F.col("id")], str(tmp_path / "once"))
+    assert computed.value == 20_010
+    assert found.filter("position != id div 7").count() == 0 and found.count() == 20_010
+
+
+def test_a_batch_is_computed_once_and_its_tickets_are_joined_once(spark, tmp_path, monkeypatch):
+    computed = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        computed.add(1)
+        return text
+
+    wide = []
+    frame = type(spark.range(0))
+    join = frame.join
+    monkeypatch.setattr(frame, "join", lambda self, *of: wide.append("ticket_id" in self.columns) or join(self, *of))
+    sequencer = ClientSequencer(str(tmp_path))
+    for number in range(2):
+        batch = tickets_of(spark, drawn(8 + number, 400)).withColumn("request_type", counted("request_type"))
+        wide.clear()
+        sequencer(batch, number)
+        # One for the offsets of ranges, which are broadcast, and one for everything per client.
+        assert sum(wide) == 2
+        assert computed.value == 400 * (number + 1)
+
+
+def test_arrived_events_are_dealt_out(spark, tmp_path):
+    """A table in order of time in one row group gives the topic files of about one size."""
+    start = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")
+    events = spark.range(0, 3_000, 1, 1).select(
+        F.col("id").alias("event_id"),
+        (start + F.make_dt_interval(secs=F.col("id"))).alias("ts"),
+        (F.col("id") % 9).alias("user_id"),
+        F.lit("view").alias("event_type"),
+        F.lit(1.0).alias("value"),
+        F.lit('{"k": 3}').alias("props"),
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out, arrive = catalogue._arriving_in_parts(spark, str(tmp_path), "dealt")
+        for part in range(catalogue.PARTS):
+            arrive(part)
+            topic = spark.read.parquet(f"{out}/topic")
+            files = [row[0] for row in topic.groupBy(F.col("_metadata.file_name")).count().select("count").collect()]
+            assert sum(files) == 1_000 * (part + 1)
+            assert len(files) == 4 * (part + 1) and max(files) < 400
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_sequences_have_no_gaps_over_batches_and_retries(spark, tmp_path):
     batches = [drawn(seed, 150) for seed in (2, 3, 4, 5)]
     batches.insert(2, [])

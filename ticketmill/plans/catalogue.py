@@ -522,14 +522,18 @@ def stream_total_by_client(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _arriving_in_parts(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, Callable[[int], DataFrame]]:
-    """A scratch folder, and a function that lets one more part of the events arrive and streams the records."""
+    """A scratch folder, and a function that lets one more part of the events arrive and streams the records.
+
+    A table in order of time, or in few row groups, has a part's events in few tasks. They are dealt
+    out before they become records, so that the topic's files are of one size.
+    """
     out = scratch_dir(spark, name)
     events = read_events(spark, sf_dir)
     cuts = _time_cuts(events)
 
     def arrive(part: int) -> DataFrame:
-        records = event_records(_between(events, cuts, part, part + 1))
-        records.write.mode("append").parquet(f"{out}/topic")
+        dealt = _between(events, cuts, part, part + 1).repartition("event_id", "ts")
+        event_records(dealt).write.mode("append").parquet(f"{out}/topic")
         return stream_records(spark, f"{out}/topic")
 
     return out, arrive

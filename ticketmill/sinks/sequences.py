@@ -1,9 +1,10 @@
 """Tickets of a stream with a gap-free number per client, in order.
 
-Within a micro-batch tickets are numbered per client by ``number_within``; what a client
-had before comes from running totals kept as merged runs of changes. So a number costs no
-state in memory and no task per client: a client with a third of a batch is spread over
-several tasks. Earlier batches come first; within a batch order is time, then ticket.
+A micro-batch's tickets are numbered through, client by client; where a client's begin in it
+and how many it has is one row per client, as is what it had before, from running totals kept
+as merged runs of changes. The tickets are joined once, with what the two give together. So a
+number costs no state in memory and no task per client: a client with a third of a batch is
+spread over several tasks. Earlier batches come first; within a batch order is time, then ticket.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticketmill.operators.numbering import number_within
+from ticketmill.operators.numbering import key_spans, number_rows
 from ticketmill.sinks.manifest import Manifest
 from ticketmill.sinks.owner import record_owner, running_query_id
 from ticketmill.sinks.runs import COUNT, PART, Run, Runs, RunStore
@@ -40,20 +41,23 @@ class ClientSequencer:
         if (query_id := running_query_id(spark)) is not None:
             record_owner(spark, self.root, query_id)
         before = self._runs_before(spark, batch_id)
-        order = [F.col("created_at"), F.col("ticket_id")]
-        numbered = number_within(batch, "client_id", order, f"{self.root}/_arrived/batch_id={batch_id}")
+        order = [F.col("client_id"), F.col("created_at"), F.col("ticket_id")]
+        numbered = number_rows(batch, order, f"{self.root}/_arrived/batch_id={batch_id}")
+        spans = key_spans(numbered, "client_id")
         totals = self.store.totals(self.store.read(spark, before)).select(
             F.col("client_id").alias("_known"), F.col(COUNT).alias("_had")
         )
-        sequence = F.coalesce("_had", F.lit(0)) + F.col("position") + 1
+        shifts = spans.join(totals, F.col("_key").eqNullSafe(F.col("_known")), "left").select(
+            "_key", (F.coalesce("_had", F.lit(0)) - F.col("_first") + 1).alias("_shift")
+        )
         (
-            numbered.join(totals, F.col("client_id").eqNullSafe(F.col("_known")), "left")
-            .select(*batch.columns, sequence.alias("sequence"))
+            numbered.join(shifts, F.col("client_id").eqNullSafe(F.col("_key")))
+            .select(*batch.columns, (F.col("position") + F.col("_shift")).alias("sequence"))
             .write.mode("overwrite")
             .parquet(f"{self.root}/data/batch_id={batch_id}")
         )
         part = F.pmod(F.xxhash64("client_id"), F.lit(PARTS)).cast("int")
-        counts = numbered.groupBy("client_id").agg(F.count("*").alias(COUNT)).withColumn(PART, part)
+        counts = spans.select(F.col("_key").alias("client_id"), F.col("_rows").alias(COUNT)).withColumn(PART, part)
         sizes, _ = self.store.add(counts, 2 * batch_id, PARTS)
         runs = {
             one: before.get(one, []) + ([Run(2 * batch_id, sizes[one])] if one in sizes else [])
